@@ -216,18 +216,18 @@ def next_now(last: Position | None, now) -> Position | None:
     return nxt if last is None or nxt > last else None
 
 
-def block_numbers(df: DataFrame, size: int, pos: str = "pos", id: str = "id",
-                  partitions: int | None = None) -> DataFrame:
-    """Drain plan in one pass: number every row by its rank in (pos, id) order and
-    give it block `rank // size` (B3 repeated until the source is empty, P7).
+def rank_rows(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """Global 0-based rank of every row in `order` (a total order), without a
+    single-partition window.
 
     Rows are range-partitioned and sorted within partitions; the per-partition
     counts (one row per partition) give each partition its starting rank.  The
-    sorted data are checkpointed so both passes see the same partitions.
+    sorted data are checkpointed (reliably, to the shared folder) so both passes
+    see the same partitions.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, F.col(pos), F.col(id)).sortWithinPartitions(pos, id)
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in order]).sortWithinPartitions(*order)
               .checkpoint(eager=True))
     counts = {int(r["p"]): int(r["c"]) for r in
               ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
@@ -235,8 +235,7 @@ def block_numbers(df: DataFrame, size: int, pos: str = "pos", id: str = "id",
     for p in sorted(counts):
         starts[p] = acc
         acc += counts[p]
-    schema = StructType(ranged.schema.fields + [StructField("row_rank", LongType()),
-                                                StructField("block_no", LongType())])
+    schema = StructType(ranged.schema.fields + [StructField("row_rank", LongType())])
 
     def _rank(batches):
         import numpy as np
@@ -245,11 +244,19 @@ def block_numbers(df: DataFrame, size: int, pos: str = "pos", id: str = "id",
         for pdf in batches:
             r = base + np.arange(len(pdf), dtype="int64")
             base += len(pdf)
-            yield pdf.assign(row_rank=r, block_no=r // size)
+            yield pdf.assign(row_rank=r)
 
     return ranged.mapInPandas(_rank, schema)
 
 
+def block_numbers(df: DataFrame, size: int, pos: str = "pos", id: str = "id",
+                  partitions: int | None = None) -> DataFrame:
+    """Drain plan in one pass: every row's block when the source is drained in
+    blocks of `size` rows (B3 repeated until empty, P7): `rank // size`."""
+    return rank_rows(df, [pos, id], partitions).withColumn(
+        "block_no", F.floor(F.col("row_rank") / F.lit(size)).cast("bigint"))
+
+
 # ---------------------------------------------------------------- sources, shards, late rows
 
 def source_position(df: DataFrame, pos: str = "pos", id: str = "id") -> Position | None:

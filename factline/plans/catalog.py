@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog_blocks  # noqa: F401
+from . import catalog_blocks, catalog_joins  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
