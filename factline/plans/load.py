@@ -23,8 +23,7 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 import xxhash
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audit import LOG_SCHEMA, block_log_exprs
@@ -39,11 +38,10 @@ POSITIONS_SCHEMA = ("topic string, last struct<pos:timestamp_ntz,id:bigint>, row
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("parquet").load(path).limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
+    """Path check through the Hadoop FileSystem of the path (works for any shared store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def make_block_id(topic: str, last: Position | None, nxt: Position) -> str:
@@ -52,10 +50,16 @@ def make_block_id(topic: str, last: Position | None, nxt: Position) -> str:
 
 
 class PositionStore:
-    """Append-only positions log in Parquet; the current row of a topic has the largest `seq`."""
+    """Append-only positions log in Parquet; the current row of a topic has the largest `seq`.
+
+    One writer per destination topic is a requirement (as in the reference), so the
+    store remembers the rows it appended and reads the log only for topics it has
+    not touched yet.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self._known: dict = {}
 
     def read(self) -> DataFrame:
         if not _exists(self.spark, self.path):
@@ -63,9 +67,12 @@ class PositionStore:
         return self.spark.read.schema(POSITIONS_SCHEMA).parquet(self.path)
 
     def current(self, topic: str):
+        if topic in self._known:
+            return self._known[topic]
         rows = (self.read().filter(F.col("topic") == topic)
                 .orderBy(F.col("seq").desc()).limit(1).collect())
-        return rows[0] if rows else None
+        self._known[topic] = rows[0] if rows else None
+        return self._known[topic]
 
     def append(self, topic: str, *, last: Position | None, nxt: Position | None = None, rows: int = 0,
                run=None, processor: str = "", state: str = "", hostid: str = "", block_id: str = "",
@@ -75,8 +82,18 @@ class PositionStore:
             seq = (cur["seq"] + 1) if cur else 0
         row = (topic, (last.pos, last.id) if last else None, int(rows), (nxt.pos, nxt.id) if nxt else None,
                run, int(seq), processor, state, hostid, block_id, published)
-        (self.spark.createDataFrame([row], POSITIONS_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self.path))
+        df = self.spark.createDataFrame([row], POSITIONS_SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(self.path)
+        self._known[topic] = self._row(row)
+
+    @staticmethod
+    def _row(values):
+        names = [f.split()[0] for f in POSITIONS_SCHEMA.replace("struct<pos:timestamp_ntz,id:bigint>", "S").split(",")]
+        d = dict(zip(names, values))
+        for k in ("last", "next"):
+            if d[k] is not None:
+                d[k] = Row(pos=d[k][0], id=d[k][1])
+        return Row(**d)
 
     def init(self, topic: str, last: Position | None, run=None) -> None:
         """Start a topic at `last` (None = before the first row)."""
