@@ -37,6 +37,9 @@ def stamp(df: DataFrame, pos, id=None, key: list[str] | None = None, order: list
 
 # ------------------------------------------------------------------ S2-S4 CDC envelopes
 ENVELOPE_FIELDS = "database string, table string, type string, ts bigint, xid bigint, commit boolean"
+# JSON text layouts for timestamps (microseconds kept).
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def envelope_schema(payload: StructType | str) -> StructType:
@@ -50,7 +53,7 @@ def parse_envelope(df: DataFrame, payload: StructType | str, col: str = "value")
     A row is rejected when its text does not parse or lacks `data`.
     """
     parsed = df.withColumn("_e", F.from_json(F.col(col).cast("string"), envelope_schema(payload),
-                                             {"mode": "PERMISSIVE"}))
+                                             {"mode": "PERMISSIVE", **JSON_OPTIONS}))
     ok = F.col("_e").isNotNull() & F.col("_e.data").isNotNull()
     good = parsed.filter(ok).select("_e.*")
     bad = parsed.filter(~ok | F.col("_e").isNull()).drop("_e")
@@ -75,7 +78,7 @@ def to_envelope(df: DataFrame, database: str, table: str, ts: str, id: str | Non
     env = F.struct(F.lit(database).alias("database"), F.lit(table).alias("table"), F.lit(op).alias("type"),
                    millis.alias("ts"), (F.col(id).cast("bigint") if id else F.lit(0).cast("bigint")).alias("xid"),
                    F.lit(True).alias("commit"), F.struct(*[F.col(c) for c in df.columns]).alias("data"))
-    return src.select(F.to_json(env).alias("value"))
+    return src.select(F.to_json(env, JSON_OPTIONS).alias("value"))
 
 
 # ------------------------------------------------------------------ S5 schema-free stages
