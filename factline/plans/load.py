@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,7 +150,12 @@ def read_fact(spark: SparkSession, root: str, exclude_block: str | None = None,
               committed: list[str] | None = None) -> DataFrame | None:
     if not _exists(spark, root):
         return None
-    df = spark.read.option("basePath", root).parquet(root)
+    try:
+        df = spark.read.option("basePath", root).parquet(root)
+    except AnalysisException as e:       # only empty blocks so far: nothing to read
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
     if exclude_block:
         df = df.filter(F.col("block_id") != exclude_block)
     if committed is not None:
