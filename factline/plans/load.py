@@ -35,7 +35,9 @@ from ..operators.positions import (DEFAULT_MAX_STEP, Position, block_filter, nex
 
 POSITIONS_SCHEMA = ("topic string, last struct<pos:timestamp_ntz,id:bigint>, rows bigint, "
                     "next struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, seq bigint, "
-                    "processor string, state string, hostid string, block_id string, published string")
+                    "processor string, state string, hostid string, block_id string, published string, "
+                    "written bigint, max_id bigint, min_ts timestamp_ntz, max_ts timestamp_ntz, "
+                    "nulls map<string,bigint>")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -77,14 +79,17 @@ class PositionStore:
 
     def append(self, topic: str, *, last: Position | None, nxt: Position | None = None, rows: int = 0,
                run=None, processor: str = "", state: str = "", hostid: str = "", block_id: str = "",
-               published: str | None = None, seq: int | None = None) -> None:
+               published: str | None = None, seq: int | None = None, log: dict | None = None) -> None:
+        """Append one row; a commit row may carry the block's log metrics (Q1)."""
         if seq is None:
             cur = self.current(topic)
             seq = (cur["seq"] + 1) if cur else 0
+        lg = log or {}
         row = (topic, (last.pos, last.id) if last else None, int(rows), (nxt.pos, nxt.id) if nxt else None,
-               run, int(seq), processor, state, hostid, block_id, published)
+               run, int(seq), processor, state, hostid, block_id, published,
+               lg.get("rows"), lg.get("max_id"), lg.get("min_ts"), lg.get("max_ts"), lg.get("nulls"))
         df = self.spark.createDataFrame([row], POSITIONS_SCHEMA)
-        df.coalesce(1).write.mode("append").parquet(self.path)
+        df.write.mode("append").parquet(self.path)
         self._known[topic] = self._row(row)
 
     @staticmethod
@@ -96,6 +101,13 @@ class PositionStore:
                 d[k] = Row(pos=d[k][0], id=d[k][1])
         return Row(**d)
 
+    def block_log(self) -> DataFrame:
+        """Q1 log rows of committed blocks, read from the commit rows."""
+        return (self.read().filter(F.col("written").isNotNull())
+                .select("topic", F.col("run").alias("ts"), F.col("written").alias("rows"), "max_id", "min_ts",
+                        "max_ts", F.coalesce("nulls", F.create_map().cast("map<string,bigint>")).alias("nulls"),
+                        F.col("block_id").alias("run_id")))
+
     def init(self, topic: str, last: Position | None, run=None) -> None:
         """Start a topic at `last` (None = before the first row)."""
         self.append(topic, last=last, run=run, processor="init", state="init")
@@ -163,12 +175,18 @@ def read_fact(spark: SparkSession, root: str, exclude_block: str | None = None,
     return df
 
 
+def log_fields(metrics: dict, checks: dict | None) -> dict:
+    nulls = {n: int(metrics.get(f"chk_{n}") or 0) for n in (checks or {}) if metrics.get(f"chk_{n}")}
+    return {"rows": int(metrics.get("rows") or 0), "max_id": metrics.get("max_id"), "min_ts": metrics.get("min_ts"),
+            "max_ts": metrics.get("max_ts"), "nulls": nulls}
+
+
 def append_log(spark: SparkSession, log_path: str, topic: str, now, metrics: dict, checks: dict | None,
                run_id: str) -> None:
     nulls = {n: int(metrics.get(f"chk_{n}", 0)) for n in (checks or {}) if metrics.get(f"chk_{n}", 0)}
     row = (topic, now, int(metrics.get("rows", 0)), metrics.get("max_id"), metrics.get("min_ts"),
            metrics.get("max_ts"), nulls, run_id)
-    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
+    spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(log_path)
 
 
 @dataclass
@@ -214,7 +232,7 @@ def _run_block(spark, topic, source, transform, target: Target, store: PositionS
         after(spark)
     minutes = int((nxt.pos - last.pos).total_seconds() // 60) if last else 0
     store.append(topic, last=nxt, rows=rows, run=now, processor=processor, state=f"{minutes}min",
-                 block_id=block_id)
+                 block_id=block_id, log=log_fields(metrics, target.checks))
     return LoadResult("replayed" if replay else "done", topic, last, nxt, rows,
                       processor.startswith("Full"), f"{minutes}min", block_id, metrics)
 
