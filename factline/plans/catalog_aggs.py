@@ -473,3 +473,23 @@ SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE)
 def q_retain(spark, sf):
     kept = retain(table(spark, sf, "events"), "ts", 10, ES_NOW)
     return kept.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ duplicate_keys
+@register("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n,
+       string_agg(strftime(l_shipdate, '%Y-%m-%d'), ',' ORDER BY strftime(l_shipdate, '%Y-%m-%d')) AS versions,
+       CAST(min(round(l_discount * 100)) AS INT) AS min_disc_pct,
+       CAST(count(*) FILTER (WHERE l_tax <> 0) AS INT) AS taxed
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def q_duplicate_keys(spark, sf):
+    li = table(spark, sf, "lineitem")
+    g = li.groupBy(*LI_KEY).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_join(F.array_sort(F.collect_list(F.date_format("l_shipdate", "yyyy-MM-dd"))), ",").alias("versions"),
+        F.collect_list("l_discount").alias("_disc"), F.collect_list("l_tax").alias("_tax"))
+    return g.filter(F.col("n") > 1).select(
+        *LI_KEY, "n", "versions",
+        F.array_min(F.transform("_disc", lambda x: F.round(x * 100).cast("int"))).alias("min_disc_pct"),
+        F.size(F.filter("_tax", lambda x: x != 0)).alias("taxed"))

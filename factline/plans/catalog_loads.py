@@ -148,3 +148,30 @@ def q_stream_load(spark, sf):
     src = file_stream(spark, f"{root}/stage", ev.schema, max_files=2)
     stream_load(spark, src, "event_stream", lambda b: b, target, f"{root}/checkpoint")
     return read_fact(spark, target.root).drop("block_id")
+
+
+# ------------------------------------------------------------------ watermark_gate
+@register("watermark_gate", """
+WITH c AS (
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+         CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
+         event_type AS source, count(*) AS n
+  FROM events WHERE event_type IN ('view', 'error') GROUP BY 1, 2, 3)
+SELECT * FROM c
+WHERE window_end <= (SELECT min(m) - INTERVAL 1 HOUR
+                     FROM (SELECT max(ts) AS m FROM events WHERE event_type IN ('view', 'error') GROUP BY event_type))
+""")
+def q_watermark_gate(spark, sf):
+    from ..streaming.stream import gated_window_counts
+    root = work_dir(spark, "watermark_gate")
+    ev = table(spark, sf, "events")
+    sources = {}
+    for t in ("view", "error"):
+        feed = ev.filter(F.col("event_type") == t).select("ts", "event_id")
+        # land each feed week by week, in time order (file streams read by modification time)
+        for w in range(6):
+            lo, hi = D(2024, 1, 1) + _dt.timedelta(days=7 * w), D(2024, 1, 1) + _dt.timedelta(days=7 * w + 7)
+            feed.filter((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < ts_lit(hi))).sortWithinPartitions("ts") \
+                .write.mode("append").parquet(f"{root}/{t}")
+        sources[t] = (file_stream(spark, f"{root}/{t}", feed.schema, max_files=2), "ts")
+    return gated_window_counts(spark, sources, "1 hour", "1 day", f"{root}/out", f"{root}/checkpoint")

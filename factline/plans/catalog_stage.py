@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import (bytes_to_uuid, or_zero_decimal, or_zero_int, or_zero_timestamp, readable_delta,
                                readable_quantity, readable_size, split_part, time_delta_seconds, topic_parts)
 from ..operators.positions import Position
-from ..sources.stage import infer_stage, parse_envelope, pull_window, stamp, to_envelope
+from ..sources.stage import infer_stage, parse_envelope, pull_window, read_cdc, stamp, to_envelope
 from .registry import register, table
 
 D = _dt.datetime
@@ -216,3 +216,24 @@ WHERE (o_orderdate > TIMESTAMP '1997-01-01 00:00:00' OR (o_orderdate = TIMESTAMP
 def q_pull_window(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     return pull_window(o, Position(D(1997, 1, 1), 0), Position(D(1997, 3, 31), 5000), "o_orderdate", "o_orderkey")
+
+
+# ------------------------------------------------------------------ cdc_stage
+@register("cdc_stage", """
+SELECT user_id, event_type, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'error'
+""")
+def q_cdc_stage(spark, sf):
+    from ..operators.upsert import apply_changes
+    from ..session import work_dir
+    root = work_dir(spark, "cdc_stage")
+    ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    op = F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete") \
+        .otherwise("update")
+    # land change events as JSON envelopes, the way a binlog reader would
+    env = to_envelope(ev.withColumn("_op", op), "shop", "events", ts="ts", id="event_id", op_col="_op")
+    env.write.mode("overwrite").text(f"{root}/landing")
+    stage = read_cdc(spark.read.text(f"{root}/landing"), ev.schema)
+    return apply_changes(None, stage, ["user_id"], ["ts", "event_id"], "_op", ["delete"],
+                         ["user_id", "event_type", "ts", "value"])

@@ -70,14 +70,17 @@ def read_cdc(df: DataFrame, payload: StructType | str, col: str = "value") -> Da
 
 
 def to_envelope(df: DataFrame, database: str, table: str, ts: str, id: str | None = None,
-                since=None, op: str = "insert") -> DataFrame:
+                since=None, op: str = "insert", op_col: str | None = None) -> DataFrame:
     """Bootstrap envelopes from an existing table, bounded to rows newer than
-    `since` when given; `ts` (event time) -> epoch milliseconds, `id` -> xid."""
+    `since` when given; `ts` (event time) -> epoch milliseconds, `id` -> xid.
+    The operation is `op`, or per row the column `op_col` (kept out of `data`)."""
     src = df if since is None else df.filter(F.col(ts) > ts_lit(since))
     millis = F.unix_millis(F.col(ts).cast("timestamp"))
-    env = F.struct(F.lit(database).alias("database"), F.lit(table).alias("table"), F.lit(op).alias("type"),
+    kind = F.col(op_col) if op_col else F.lit(op)
+    payload = [F.col(c) for c in df.columns if c != op_col]
+    env = F.struct(F.lit(database).alias("database"), F.lit(table).alias("table"), kind.alias("type"),
                    millis.alias("ts"), (F.col(id).cast("bigint") if id else F.lit(0).cast("bigint")).alias("xid"),
-                   F.lit(True).alias("commit"), F.struct(*[F.col(c) for c in df.columns]).alias("data"))
+                   F.lit(True).alias("commit"), F.struct(*payload).alias("data"))
     return src.select(F.to_json(env, JSON_OPTIONS).alias("value"))
 
 
