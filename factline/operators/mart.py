@@ -84,4 +84,4 @@ def lookup_via_index(index: DataFrame, wide: DataFrame, attr: str, value, ids: l
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
     """M6: time-partitioned layout (one folder per period value)."""
-    df.repartition(*by).write.mode(mode).partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)

@@ -149,8 +149,10 @@ def write_block(df: DataFrame, root: str, block_id: str, partition_by: list[str]
     obs = Observation(f"blk_{block_id}")
     observed = df.observe(obs, *block_log_exprs(log_ts, log_id, checks))
     if partition_by:
-        observed = observed.repartition(files_per_partition or 1, *partition_by) if files_per_partition \
-            else observed.repartition(*partition_by)
+        # REBALANCE groups rows by the partition columns (few files per folder) while AQE
+        # may still split a hot partition value across tasks and merge small ones
+        observed = observed.repartition(files_per_partition, *partition_by) if files_per_partition \
+            else observed.hint("rebalance", *partition_by)
     w = observed.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

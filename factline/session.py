@@ -25,6 +25,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
