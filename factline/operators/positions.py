@@ -257,6 +257,32 @@ def block_numbers(df: DataFrame, size: int, pos: str = "pos", id: str = "id",
         "block_no", F.floor(F.col("row_rank") / F.lit(size)).cast("bigint"))
 
 
+def plan_blocks(df: DataFrame, last: Position | None, gate, max_step: int, pos: str = "pos", id: str = "id",
+                uniq: bool = False, horizon: int = 1000) -> list[Block]:
+    """The next `horizon` blocks under a fixed gate, planned in one distributed pass.
+
+    Gives the same edges as calling `next_block` (or `next_block_uniq`) after each
+    commit, as long as the source does not change below the gate meanwhile: rows
+    are ranked once (`rank_rows`), block k holds ranks [k*max_step, (k+1)*max_step),
+    and its `next` is the largest position among them.  Only one row per block
+    reaches the driver.
+    """
+    pend = pending(df.select(F.col(pos).alias("pos"), F.col(id).cast("bigint").alias("id")), last, gate)
+    if uniq:
+        pend = pend.groupBy("id").agg(F.max("pos").alias("pos")).select("pos", "id")
+    ranked = rank_rows(pend, ["pos", "id"])
+    edges = (ranked.withColumn("block_no", F.floor(F.col("row_rank") / F.lit(max_step)))
+             .filter(F.col("block_no") < horizon)
+             .groupBy("block_no").agg(F.count(F.lit(1)).alias("rows"), F.max(position("pos", "id")).alias("next"))
+             .orderBy("block_no").collect())
+    out, prev = [], last
+    for e in edges:
+        nxt = Position.of(e["next"])
+        out.append(Block(prev, nxt, int(e["rows"]), max_step))
+        prev = nxt
+    return out
+
+
 # ---------------------------------------------------------------- sources, shards, late rows
 
 def source_position(df: DataFrame, pos: str = "pos", id: str = "id") -> Position | None:

@@ -13,8 +13,8 @@ from ..operators.positions import Position
 from ..session import work_dir
 from ..streaming.stream import file_stream, stream_load
 from .catalog_blocks import FACT_SQL, fact_transform
-from .load import (PositionStore, Target, drain, load_incremental, load_range, load_reload, load_step,
-                   read_fact, read_published)
+from .load import (PositionStore, Target, drain, drain_planned, load_incremental, load_range, load_reload,
+                   load_step, read_fact, read_published)
 from .registry import register, table
 
 D = _dt.datetime
@@ -39,8 +39,8 @@ def q_step_load(spark, sf):
 
     target = order_fact_target(root)
     src = table(spark, sf, "orders")
-    drain(lambda: load_step(spark, "order_fact", src, transform, target, store, D(2024, 2, 1), gate=FAR_GATE,
-                            max_step=5000, pos="o_orderdate", id="o_orderkey"))
+    drain_planned(spark, "order_fact", src, transform, target, store, D(2024, 2, 1), gate=FAR_GATE,
+                  max_step=5000, pos="o_orderdate", id="o_orderkey")
     return read_fact(spark, target.root).drop("block_id", "o_month")
 
 
@@ -57,9 +57,8 @@ def q_uniq_load(spark, sf):
     order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
     target = Target(root=f"{root}/fact", dedup=None)
     src = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
-    drain(lambda: load_step(spark, "line_state", src, lambda b: b, target, store, D(2024, 2, 1), gate=FAR_GATE,
-                            max_step=5000, pos="l_shipdate", id="l_orderkey", uniq=True,
-                            uniq_order=order[1:]))
+    drain_planned(spark, "line_state", src, lambda b: b, target, store, D(2024, 2, 1), gate=FAR_GATE,
+                  max_step=5000, pos="l_shipdate", id="l_orderkey", uniq=True, uniq_order=order[1:])
     return latest(read_fact(spark, target.root).drop("block_id"), ["l_orderkey"], order)
 
 
@@ -130,8 +129,8 @@ def q_tagged_load(spark, sf):
     target = Target(root=f"{root}/fact", dedup="new", keys=["o_orderkey"])
     src = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     for tag, cond in (("open", F.col("o_orderstatus") == "O"), ("rest", F.col("o_orderstatus") != "O")):
-        drain(lambda: load_step(spark, f"orders_copy#{tag}", src, lambda b, c=cond: b.filter(c), target, store,
-                                D(2024, 2, 1), gate=FAR_GATE, max_step=10000, pos="o_orderdate", id="o_orderkey"))
+        drain_planned(spark, f"orders_copy#{tag}", src, lambda b, c=cond: b.filter(c), target, store,
+                      D(2024, 2, 1), gate=FAR_GATE, max_step=10000, pos="o_orderdate", id="o_orderkey")
     return read_fact(spark, target.root).drop("block_id")
 
 

@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audit import LOG_SCHEMA, block_log_exprs
-from ..operators.gate import dep_gate
+from ..operators.gate import dep_gate, precheck_message
 from ..operators.lookup import latest, new_rows
-from ..operators.positions import (DEFAULT_MAX_STEP, Position, block_filter, next_block,
-                                   next_block_uniq, next_now, next_range)
+from ..operators.positions import (DEFAULT_MAX_STEP, Block, Position, block_filter, next_block,
+                                   next_block_uniq, next_now, next_range, plan_blocks)
 
 POSITIONS_SCHEMA = ("topic string, last struct<pos:timestamp_ntz,id:bigint>, rows bigint, "
                     "next struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, seq bigint, "
@@ -254,16 +254,21 @@ def load_step(spark: SparkSession, topic: str, source: DataFrame, transform: Cal
               target: Target, store: PositionStore, now, *, gate=None, positions: DataFrame | None = None,
               deps: list[str] | None = None, delay_s: int = 0, max_step: int = DEFAULT_MAX_STEP,
               pos: str = "pos", id: str = "id", uniq: bool = False, uniq_order: list[str] | None = None,
-              before=None, after=None) -> LoadResult:
+              before=None, after=None, planned: Block | None = None) -> LoadResult:
     """P1 Step (and P2 UniqId with `uniq=True`).
 
     The gate is `gate` when given, else G1 over `positions` for `deps` (D27: the
-    base source is normally its own first dependency).
+    base source is normally its own first dependency).  `planned` is a block from
+    `plan_blocks` whose `last` must be the topic's current position.
     """
     cur, replay = _open_block(store, topic)
     if replay:
         last, nxt, rows = Position.of(cur["last"]), Position.of(cur["next"]), int(cur["rows"])
         processor = cur["processor"]
+    elif planned is not None and planned.last == _last_of(cur) and not planned.empty:
+        last, nxt, rows = planned.last, planned.next, planned.rows
+        base = "UniqId" if uniq else "Step"
+        processor = ("Full" + base) if planned.full else base
     else:
         last = _last_of(cur)
         laggard = None
@@ -275,7 +280,7 @@ def load_step(spark: SparkSession, topic: str, source: DataFrame, transform: Cal
         plan = (next_block_uniq if uniq else next_block)(source, last, gate, max_step, pos, id)
         if plan.empty:
             return LoadResult("nojobs", topic, last, None, 0, False, laggard or "",
-                              message=f"NOJOBS {topic}: waiting for {laggard or 'data'}")
+                              message=precheck_message(topic, last, None, 0, laggard, now))
         nxt, rows = plan.next, plan.rows
         base = "UniqId" if uniq else "Step"
         processor = ("Full" + base) if plan.full else base
@@ -283,8 +288,33 @@ def load_step(spark: SparkSession, topic: str, source: DataFrame, transform: Cal
     if uniq:
         order = [pos] + list(uniq_order or [])
         prep = lambda b: latest(b, [id], order)  # D22: newest version of each id inside the block
-    return _run_block(spark, topic, source, transform, target, store, last, nxt, rows, processor, now,
-                      pos, id, replay, max_step, prep, before, after)
+    res = _run_block(spark, topic, source, transform, target, store, last, nxt, rows, processor, now,
+                     pos, id, replay, max_step, prep, before, after)
+    res.message = precheck_message(topic, last, nxt, rows, None, now)
+    return res
+
+
+def drain_planned(spark: SparkSession, topic: str, source: DataFrame, transform, target: Target,
+                  store: PositionStore, now, *, gate, max_step: int = DEFAULT_MAX_STEP, pos: str = "pos",
+                  id: str = "id", uniq: bool = False, uniq_order: list[str] | None = None,
+                  horizon: int = 1000) -> list[LoadResult]:
+    """P7 under a fixed gate: finish an open block, then plan up to `horizon` blocks in
+    one pass (`plan_blocks`) and load them one by one, each with its own begin and
+    commit rows, exactly as the step-by-step drain would."""
+    kw = dict(gate=gate, max_step=max_step, pos=pos, id=id, uniq=uniq, uniq_order=uniq_order)
+    out = []
+    if _open_block(store, topic)[1]:
+        out.append(load_step(spark, topic, source, transform, target, store, now, **kw))
+    while True:
+        plan = plan_blocks(source, _last_of(store.current(topic)), gate, max_step, pos, id, uniq, horizon)
+        for b in plan:
+            out.append(load_step(spark, topic, source, transform, target, store, now, planned=b, **kw))
+        if len(plan) < horizon:
+            break
+    if not plan:
+        out.append(LoadResult("nojobs", topic, _last_of(store.current(topic)), None, 0, False, "",
+                              message=precheck_message(topic, None, None, 0, None, now)))
+    return out
 
 
 def load_range(spark: SparkSession, topic: str, source: DataFrame, transform, target: Target,

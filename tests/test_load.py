@@ -119,3 +119,18 @@ def test_streaming_equals_batch(spark, tmp):
                 f"{tmp}/ckpt")
     f = read_fact(spark, target.root)
     assert f.count() == ev.count() and f.select("block_id").distinct().count() == 4
+
+
+def test_planned_drain_equals_stepwise(spark, tmp):
+    from factline.plans.load import drain_planned
+    src = orders(spark)
+    for uniq in (False, True):
+        s1, s2 = PositionStore(spark, f"{tmp}/a{uniq}"), PositionStore(spark, f"{tmp}/b{uniq}")
+        t1, t2 = Target(root=f"{tmp}/fa{uniq}", dedup=None), Target(root=f"{tmp}/fb{uniq}", dedup=None)
+        kw = dict(gate=FAR, max_step=40 if uniq else 350, pos="o_orderdate",
+                  id="o_custkey" if uniq else "o_orderkey", uniq=uniq)
+        a = drain(lambda: load_step(spark, "t", src, transform, t1, s1, D(2024, 1, 1), **kw))
+        b = drain_planned(spark, "t", src, transform, t2, s2, D(2024, 1, 1), horizon=2, **kw)
+        edges = lambda rs: [(r.next, r.rows) for r in rs if r.status != "nojobs"]
+        assert edges(a) == edges(b) and len(edges(a)) >= 3
+        assert rows(read_fact(spark, t1.root)) == rows(read_fact(spark, t2.root))
