@@ -91,8 +91,8 @@ WITH t AS (
 SELECT r_regionkey, txt,
   CASE WHEN trim(txt) = '' THEN 3600
        WHEN trim(regexp_replace(txt, '(\\d+)\\s*([A-Za-z]+)', '', 'g')) <> '' THEN NULL
-       ELSE list_sum(list_transform(regexp_extract_all(txt, '(\\d+)\\s*([A-Za-z]+)', 0),
-              lambda x: CAST(regexp_extract(x, '(\\d+)', 1) AS BIGINT) * {_DELTA_UNIT_SQL})) END AS seconds
+       ELSE CAST(list_sum(list_transform(regexp_extract_all(txt, '(\\d+)\\s*([A-Za-z]+)', 0),
+              lambda x: CAST(regexp_extract(x, '(\\d+)', 1) AS BIGINT) * {_DELTA_UNIT_SQL})) AS BIGINT) END AS seconds
 FROM t
 """)
 def q_time_delta(spark, sf):

@@ -20,6 +20,8 @@ def register(name: str, sql: str | None = None):
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            # the catalogue's literals and windows are UTC wall-clock values
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__

@@ -64,8 +64,9 @@ def read_cdc(df: DataFrame, payload: StructType | str, col: str = "value") -> Da
     """A landed CDC stream (batch or streaming DataFrame of envelope text) as
     stage rows: payload columns plus `pos` (event time) and `id` (transaction id)."""
     good, _ = parse_envelope(df, payload, col)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return good.select("data.*", F.col("type").alias("_op"),
-                       F.timestamp_millis(F.col("ts")).cast("timestamp_ntz").alias("pos"),
+                       F.timestamp_add("MILLISECOND", F.col("ts"), epoch).alias("pos"),
                        F.col("xid").alias("id"))
 
 
@@ -75,7 +76,8 @@ def to_envelope(df: DataFrame, database: str, table: str, ts: str, id: str | Non
     `since` when given; `ts` (event time) -> epoch milliseconds, `id` -> xid.
     The operation is `op`, or per row the column `op_col` (kept out of `data`)."""
     src = df if since is None else df.filter(F.col(ts) > ts_lit(since))
-    millis = F.unix_millis(F.col(ts).cast("timestamp"))
+    # epoch milliseconds by NTZ arithmetic: independent of the session time zone
+    millis = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
     kind = F.col(op_col) if op_col else F.lit(op)
     payload = [F.col(c) for c in df.columns if c != op_col]
     env = F.struct(F.lit(database).alias("database"), F.lit(table).alias("table"), kind.alias("type"),
