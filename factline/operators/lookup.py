@@ -99,10 +99,10 @@ def new_rows(block: DataFrame, fact: DataFrame, keys: list[str], max_block_rows:
     literal partition values (`prune`), then the block is anti-joined to that small
     set.  No `NOT IN`: it plans a null-aware anti join.
     """
-    fk = fact.select(*keys)
-    if prune:
-        for c, values in prune.items():
-            fk = fact.filter(F.col(c).isin(list(values))).select(*keys)
+    narrowed = fact
+    for c, values in (prune or {}).items():
+        narrowed = narrowed.filter(F.col(c).isin(list(values)))
+    fk = narrowed.select(*keys)
     bkeys = block.select(*keys).distinct()
     seen = fk.join(broadcast_if_bounded(bkeys, max_block_rows), keys, "left_semi").distinct()
     return block.join(seen, keys, "left_anti")

@@ -270,6 +270,16 @@ def plan_blocks(df: DataFrame, last: Position | None, gate, max_step: int, pos:
     pend = pending(df.select(F.col(pos).alias("pos"), F.col(id).cast("bigint").alias("id")), last, gate)
     if uniq:
         pend = pend.groupBy("id").agg(F.max("pos").alias("pos")).select("pos", "id")
+    # rank only what the horizon needs: cut the backlog at the (horizon * max_step)-th position
+    cap = horizon * max_step
+    n = pend.count()
+    if n == 0:
+        return []
+    if n > cap:
+        if uniq and n > EXACT_ROWS:
+            pend = pend.checkpoint(eager=True)
+        edge = kth_position(pend, cap, count=n)
+        pend = pend.filter(at_or_before(edge, "pos", "id"))
     ranked = rank_rows(pend, ["pos", "id"])
     edges = (ranked.withColumn("block_no", F.floor(F.col("row_rank") / F.lit(max_step)))
              .filter(F.col("block_no") < horizon)

@@ -204,6 +204,7 @@ class Target:
     log_ts: str | None = None
     log_id: str | None = None
     checks: dict | None = None
+    prune_by: list[str] | None = None  # partition columns fixed per key: dedup reads only the block's values
 
 
 def _run_block(spark, topic, source, transform, target: Target, store: PositionStore, last, nxt, rows,
@@ -223,7 +224,8 @@ def _run_block(spark, topic, source, transform, target: Target, store: PositionS
     if target.dedup == "new" and target.keys:
         fact = read_fact(spark, target.root, exclude_block=block_id)
         if fact is not None:
-            out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound)
+            out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound,
+                           prune=block_partitions(out, target.prune_by))
     if target.schema:
         out = conform(out, target.schema)
     metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,
@@ -239,6 +241,20 @@ def _run_block(spark, topic, source, transform, target: Target, store: PositionS
                       processor.startswith("Full"), f"{minutes}min", block_id, metrics)
 
 
+PRUNE_MAX_VALUES = 10_000
+
+
+def block_partitions(block: DataFrame, cols: list[str] | None) -> dict | None:
+    """Distinct partition values of a block (one small aggregate), used to read only
+    those fact partitions in dedup; None when there are too many to list."""
+    if not cols:
+        return None
+    vals = block.select(*cols).distinct().limit(PRUNE_MAX_VALUES + 1).collect()
+    if len(vals) > PRUNE_MAX_VALUES or len(cols) != 1:
+        return None
+    return {cols[0]: [r[0] for r in vals]}
+
+
 def _open_block(store: PositionStore, topic: str):
     cur = store.current(topic)
     if cur is not None and cur["next"] is not None:

@@ -132,3 +132,11 @@ def test_readiness_stale_override(spark):
         "run timestamp_ntz, processor string, hostid string")
     pos = spark.createDataFrame([("a", (D(2024, 1, 5), 1))], "topic string, last struct<pos:timestamp_ntz,id:bigint>")
     assert readiness(pl, pos, D(2024, 1, 5, 12)).first()["ready"] is True
+
+
+def test_plan_blocks_horizon(spark):
+    from factline.operators.positions import plan_blocks
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    full = plan_blocks(o, None, D(2099, 1, 1), 200, "o_orderdate", "o_orderkey", horizon=1000)
+    part = plan_blocks(o, None, D(2099, 1, 1), 200, "o_orderdate", "o_orderkey", horizon=3)
+    assert part == full[:3] and len(full) == 8 and sum(b.rows for b in full) == 1500
