@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ts_lit
-from ..operators.lookup import (dim_lookup, kv_join, latest, nest_children, new_rows, prefilter_in,
+from ..operators.lookup import (dim_lookup, kv_join, latest, nest_children_chunked, new_rows, prefilter_in,
                                 prefilter_range, repair_missing, write_bucketed)
 from ..operators.positions import Position, block_filter, late_rows, shard_filter
 from ..session import work_dir
@@ -157,23 +157,31 @@ def q_prefilter_range(spark, sf):
 
 
 # ------------------------------------------------------------------ nest_children
-@register("nest_children", """
-SELECT o.o_orderkey, CAST(count(l.l_orderkey) AS BIGINT) AS n_lines,
+NEST_CHUNK = 4   # children per nested row; a busy parent spans several rows
+
+
+@register("nest_children", f"""
+WITH l AS (
+  SELECT l.*, (row_number() OVER (PARTITION BY l_orderkey
+                                  ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey) - 1) // {NEST_CHUNK} AS chunk_no
+  FROM lineitem l)
+SELECT o.o_orderkey, CAST(coalesce(l.chunk_no, 0) AS INT) AS chunk_no, CAST(count(l.l_orderkey) AS BIGINT) AS n_lines,
        coalesce(string_agg(CAST(l.l_linenumber AS VARCHAR) || ':' || CAST(l.l_partkey AS VARCHAR), ','
                            ORDER BY l.l_linenumber, l.l_shipdate, l.l_partkey, l.l_suppkey), '') AS lines
-FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey
 WHERE o.o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o.o_orderdate < TIMESTAMP '1996-02-01 00:00:00'
-GROUP BY o.o_orderkey
+GROUP BY o.o_orderkey, l.chunk_no
 """)
 def q_nest_children(spark, sf):
     o = table(spark, sf, "orders").filter((F.col("o_orderdate") >= ts_lit(D(1996, 1, 1))) &
                                           (F.col("o_orderdate") < ts_lit(D(1996, 2, 1)))).select("o_orderkey")
     li = table(spark, sf, "lineitem")
     li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-    nested = nest_children(o.withColumnRenamed("o_orderkey", "l_orderkey"), li, "l_orderkey",
-                           ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"], [], "children")
+    nested = nest_children_chunked(o.withColumnRenamed("o_orderkey", "l_orderkey"), li, "l_orderkey",
+                                   ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"], [], NEST_CHUNK,
+                                   "children")
     return nested.select(
-        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_orderkey").alias("o_orderkey"), "chunk_no",
         F.coalesce(F.size("children"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.array_join(F.transform("children", lambda c: F.concat(
             c["l_linenumber"].cast("string"), F.lit(":"), c["l_partkey"].cast("string"))), ","), F.lit(""))
