@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -126,7 +126,9 @@ def kth_position(df: DataFrame, k: int, pos: str = "pos", id: str = "id",
     dim = "pos"
     while True:
         if count <= exact_rows:
-            row = cur.orderBy("pos", "id").offset(k - 1).limit(1).first()
+            # at most `exact_rows` rows: rank them in one task, send one row to the driver
+            w = Window.orderBy("pos", "id")
+            row = cur.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == k).select("pos", "id").first()
             return Position.of(row)
         st = cur.agg(F.min("pos").alias("lo_p"), F.max("pos").alias("hi_p"),
                      F.min("id").alias("lo_i"), F.max("id").alias("hi_i")).first()
