@@ -72,13 +72,17 @@ SIGN_BLOCKS = ((None, D(1997, 1, 1)), (D(1997, 1, 1), D(1999, 1, 1)), (D(1999, 1
 
 
 def _signed_log(spark, sf):
+    """Each block appends its sign rows to the collapsing table; the state a block
+    is compared with is read back from that table (K4), so no plan grows per block."""
+    root = work_dir(spark, "signed_log")
     li = table(spark, sf, "lineitem").select(*LI_KEY, *LI_VERSION, "l_returnflag",
                                              F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
-    log, state = None, None
-    for lo, hi in SIGN_BLOCKS:
-        rows = sign_rows(state, _ship_between(li, lo, hi), LI_KEY, LI_VERSION)
-        log = rows if log is None else log.unionByName(rows)
-        state = collapse(log)
+    state = None
+    for i, (lo, hi) in enumerate(SIGN_BLOCKS):
+        sign_rows(state, _ship_between(li, lo, hi), LI_KEY, LI_VERSION).write.mode("overwrite") \
+            .parquet(f"{root}/block={i}")
+        state = collapse(spark.read.parquet(root).drop("block"))
+    log = spark.read.parquet(root).drop("block")
     return log, state
 
 
