@@ -94,7 +94,8 @@ SELECT l_returnflag, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total, count
 """)
 def q_signed_totals(spark, sf):
     log, _ = _signed_log(spark, sf)
-    return signed_agg(log, ["l_returnflag"], {"total": "price"})
+    out = signed_agg(log, ["l_returnflag"], {"total": "price"})
+    return out.withColumn("total", F.col("total").cast("decimal(38,2)"))
 
 
 @register("collapse", """
@@ -141,7 +142,8 @@ SELECT user_id, sum(CAST(value AS DECIMAL(18,2))) AS total, count(*) AS n FROM e
 def q_idem_sum(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_id", F.col("value").cast("decimal(18,2)").alias("v"))
     twice = ev.unionByName(ev)   # the same rows delivered twice
-    return idem_sum(twice, "user_id", "event_id", "v")
+    out = idem_sum(twice, "user_id", "event_id", "v")
+    return out.withColumn("total", F.col("total").cast("decimal(38,2)"))
 
 
 # ------------------------------------------------------------------ funnel
@@ -338,13 +340,13 @@ def q_check_rows(spark, sf):
 def _ev_rollup(spark, sf, grain):
     ev = table(spark, sf, "events")
     return rollup(ev, "ts", grain, ["event_type"], {
-        "n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)"))})
+        "n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)")})
 
 
 def _ord_rollup(spark, sf, grain):
     o = table(spark, sf, "orders")
     return rollup(o, "o_orderdate", grain, ["o_orderstatus"], {
-        "n": F.count(F.lit(1)), "total": F.sum(F.col("o_totalprice").cast("decimal(18,2)"))})
+        "n": F.count(F.lit(1)), "total": F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")})
 
 
 for _g in ("hour", "day", "week"):
@@ -382,7 +384,7 @@ FROM events GROUP BY ALL
 """)
 def q_refresh_rollup(spark, sf):
     ev = table(spark, sf, "events")
-    aggs = {"n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)")),
+    aggs = {"n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)"),
             "min_v": F.min("value"), "max_v": F.max("value")}
     cut = ts_lit(D(2024, 1, 15, 12))
     mart = rollup(ev.filter(F.col("ts") < cut), "ts", "day", ["event_type"], aggs)

@@ -54,7 +54,7 @@ def q_stage_dedup(spark, sf):
     kept = stage_dedup(li, LI_KEY, LI_VERSION, keep="first")
     before = li.agg(F.count(F.lit(1)).alias("rows_before"))
     after = kept.agg(F.count(F.lit(1)).alias("rows_after"),
-                     F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("kept_total"),
+                     F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("kept_total"),
                      F.min("l_shipdate").alias("first_ship"))
     return before.crossJoin(after)
 
@@ -233,7 +233,7 @@ def q_shard_union(spark, sf):
     o = table(spark, sf, "orders")
     parts = [shard_filter(o, "o_orderkey", 2, i).agg(
         F.lit(i).alias("shard"), F.count(F.lit(1)).alias("rows"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total")) for i in range(2)]
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total")) for i in range(2)]
     return parts[0].unionByName(parts[1])
 
 
@@ -262,4 +262,4 @@ def q_bucket_join(spark, sf):
         F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice"), f"fl_lineitem_{tag}", f"{root}/lineitem",
         ["o_orderkey"], 8)
     return o.join(li, "o_orderkey").groupBy("o_orderkey").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("revenue"))
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"))
