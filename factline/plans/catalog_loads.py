@@ -14,7 +14,7 @@ from ..session import work_dir
 from ..streaming.stream import file_stream, stream_load
 from .catalog_blocks import FACT_SQL, fact_transform
 from .load import (PositionStore, Target, drain, drain_planned, load_incremental, load_range, load_reload,
-                   load_step, read_fact, read_published)
+                   load_step, read_fact, read_published, sql_transform)
 from .registry import register, table
 
 D = _dt.datetime
@@ -128,8 +128,13 @@ def q_tagged_load(spark, sf):
     store = PositionStore(spark, f"{root}/positions")
     target = Target(root=f"{root}/fact", dedup="new", keys=["o_orderkey"])
     src = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    for tag, cond in (("open", F.col("o_orderstatus") == "O"), ("rest", F.col("o_orderstatus") != "O")):
-        drain_planned(spark, f"orders_copy#{tag}", src, lambda b, c=cond: b.filter(c), target, store,
+    # two transform views feeding one destination, one topic per #tag
+    views = {
+        "open": "SELECT o_orderkey, o_orderstatus, o_orderdate FROM {block} WHERE o_orderstatus = 'O'",
+        "rest": "SELECT o_orderkey, o_orderstatus, o_orderdate FROM {block} WHERE o_orderstatus <> 'O'",
+    }
+    for tag, sql in views.items():
+        drain_planned(spark, f"orders_copy#{tag}", src, sql_transform(sql), target, store,
                       D(2024, 2, 1), gate=FAR_GATE, max_step=10000, pos="o_orderdate", id="o_orderkey")
     return read_fact(spark, target.root).drop("block_id")
 

@@ -414,6 +414,18 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def sql_transform(sql: str, **frames: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A transform written as SQL text (the reference's transform views).
+
+    The block is `{block}` in the text; other sources are passed by name and used as
+    `{name}`.  They are bound as DataFrame parameters of `spark.sql`, so no temp
+    view names are shared between concurrent loads.
+    """
+    def run(block: DataFrame) -> DataFrame:
+        return block.sparkSession.sql(sql, block=block, **frames)
+    return run
+
+
 def drain(step: Callable[[], LoadResult], max_blocks: int | None = None,
           until_not_full: bool = True) -> list[LoadResult]:
     """Repeat a load while it keeps finding work (a full block continues at once).
