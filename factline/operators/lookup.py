@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
@@ -37,7 +37,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None, limit_bytes: int =
     return df
 
 
-def latest(df: DataFrame, keys: list[str], order: list, partial_limit: bool = True) -> DataFrame:
+def latest(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Newest row per key (`ORDER BY order DESC LIMIT 1 BY keys`).
 
     `order` must be a total order inside a key.  `row_number() = 1` is planned with

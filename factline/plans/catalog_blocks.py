@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import position, ts_lit
+from ..functions.exprs import position
 from ..operators.gate import dep_gate_df, position_report, readiness, source_positions
 from ..operators.lookup import build_fact
 from ..operators.positions import (Position, block_filter, block_numbers, next_block, next_block_uniq,

@@ -18,7 +18,6 @@ block into the same directory, so nothing is duplicated or left behind.
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Callable
 
