@@ -9,6 +9,7 @@ data are read once.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +66,7 @@ def error_summary(errors: DataFrame, now, ts: str = "ts", topic: str = "topic",
                   marker: str = "DB::Exception: ") -> DataFrame:
     """Q3: errors of the last day except NOJOBS, per topic and message tail."""
     now_l = ts_lit(now)
-    tail = F.element_at(F.split(F.col(err), marker, -1), -1)
+    tail = F.element_at(F.split(F.col(err), re.escape(marker), -1), -1)
     recent = errors.filter(~F.col(err).like("NOJOBS%") & (F.col(ts) > now_l - F.expr("INTERVAL 1 DAY")))
     return recent.groupBy(tail.alias("error"), F.col(topic).alias("topic")).agg(
         F.max(ts).alias("time"), F.count(F.lit(1)).alias("c"))
