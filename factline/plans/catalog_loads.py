@@ -14,7 +14,7 @@ from ..session import work_dir
 from ..streaming.stream import file_stream, stream_load
 from .catalog_blocks import FACT_SQL, fact_transform
 from .load import (PositionStore, Target, drain, drain_planned, load_incremental, load_range, load_reload,
-                   read_fact, read_published, sql_transform)
+                   months_between, read_fact, read_published, sql_transform)
 from .registry import register, table
 
 D = _dt.datetime
@@ -24,7 +24,7 @@ FAR_GATE = D(2099, 1, 1)   # explicit gate past the end of the data (D27)
 # ------------------------------------------------------------------ step_load
 def order_fact_target(root):
     return Target(root=f"{root}/fact", partition_by=["o_month"], dedup="new", keys=["o_orderkey"],
-                  prune_by=["o_month"], log_ts="o_orderdate", log_id="o_orderkey",
+                  prune_range=months_between("o_month"), log_ts="o_orderdate", log_id="o_orderkey",
                   checks={"no_customer": F.col("c_name").isNull(), "zero_price": F.col("o_totalprice") == 0})
 
 

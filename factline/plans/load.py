@@ -204,6 +204,7 @@ class Target:
     log_id: str | None = None
     checks: dict | None = None
     prune_by: list[str] | None = None  # partition columns fixed per key: dedup reads only the block's values
+    prune_range: Callable | None = None  # (last, next) -> {column: values}: the same without a Spark job
 
 
 def _run_block(spark, topic, source, transform, target: Target, store: PositionStore, last, nxt, rows,
@@ -223,8 +224,8 @@ def _run_block(spark, topic, source, transform, target: Target, store: PositionS
     if target.dedup == "new" and target.keys:
         fact = read_fact(spark, target.root, exclude_block=block_id)
         if fact is not None:
-            out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound,
-                           prune=block_partitions(out, target.prune_by))
+            prune = target.prune_range(last, nxt) if target.prune_range else block_partitions(out, target.prune_by)
+            out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound, prune=prune)
     if target.schema:
         out = conform(out, target.schema)
     metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,
@@ -243,6 +244,19 @@ def _run_block(spark, topic, source, transform, target: Target, store: PositionS
 PRUNE_MAX_VALUES = 10_000
 
 
+def months_between(column: str):
+    """`prune_range` for a fact partitioned by yyyymm of the block's own `pos`."""
+    def values(last: Position | None, nxt: Position) -> dict | None:
+        if last is None:
+            return None
+        y, m, out = last.pos.year, last.pos.month, []
+        while (y, m) <= (nxt.pos.year, nxt.pos.month):
+            out.append(y * 100 + m)
+            y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+        return {column: out} if len(out) <= PRUNE_MAX_VALUES else None
+    return values
+
+
 def block_partitions(block: DataFrame, cols: list[str] | None) -> dict | None:
     """Distinct partition values of a block (one small aggregate), used to read only
     those fact partitions in dedup; None when there are too many to list."""
