@@ -45,8 +45,9 @@ def refresh_rollup(mart: DataFrame, delta: DataFrame, keys: list[str], rules: di
     other groups pass through untouched.  For mutable facts, feed signed deltas
     (sum of sign * x) and they cancel the old contribution.
     """
-    touched = mart.join(delta.select(*keys).distinct(), keys, "left_semi")
-    untouched = mart.join(delta.select(*keys).distinct(), keys, "left_anti")
+    # `delta` is itself a rollup, one row per key: no distinct needed
+    touched = mart.join(delta.select(*keys), keys, "left_semi")
+    untouched = mart.join(delta.select(*keys), keys, "left_anti")
     merged = touched.unionByName(delta.select(*mart.columns)).groupBy(*keys).agg(
         *[MERGE[r](F.col(c)).alias(c) for c, r in rules.items()])
     return untouched.unionByName(merged.select(*mart.columns))

@@ -320,9 +320,14 @@ def shard_filter(df: DataFrame, key, n: int, i: int, hash_key: bool = False) ->
 
 def late_rows(src: DataFrame, fact: DataFrame, last: Position, keys: list[str],
               pos: str = "pos", id: str = "id") -> DataFrame:
-    """Source rows at or below `last` that the destination does not hold."""
+    """Source rows at or below `last` that the destination does not hold.
+
+    The destination is first narrowed to the candidates' keys (semi join), so no
+    aggregate over all of its keys is needed; then the candidates are anti-joined.
+    """
     old = src.filter(at_or_before(last, pos, id))
-    return old.join(fact.select(*keys).distinct(), keys, "left_anti")
+    seen = fact.select(*keys).join(old.select(*keys), keys, "left_semi")
+    return old.join(seen, keys, "left_anti")
 
 
 def range_series(df: DataFrame, last: Position, max_step_s: int, delay_s: int, now,
