@@ -13,7 +13,8 @@ from ..operators.positions import Position
 from ..session import work_dir
 from ..streaming.stream import file_stream, stream_load
 from .catalog_blocks import FACT_SQL, fact_transform
-from .load import (PositionStore, Target, drain, drain_planned, load_incremental, load_range, load_reload,
+from .load import (PositionStore, Target, compact_blocks, drain, drain_planned, load_incremental, load_range,
+                   load_reload,
                    months_between, read_fact, read_published, sql_transform)
 from .registry import register, table
 
@@ -179,3 +180,24 @@ def q_watermark_gate(spark, sf):
                 .write.mode("append").parquet(f"{root}/{t}")
         sources[t] = (file_stream(spark, f"{root}/{t}", feed.schema, max_files=2), "ts")
     return gated_window_counts(spark, sources, "1 hour", "1 day", f"{root}/out", f"{root}/checkpoint")
+
+
+# ------------------------------------------------------------------ compact_blocks (K6 on a load's folders)
+@register("compact_blocks", """
+SELECT o_orderkey, o_orderstatus, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice FROM orders
+""")
+def q_compact_blocks(spark, sf):
+    root = work_dir(spark, "compact_blocks")
+    store = PositionStore(spark, f"{root}/positions")
+    target = Target(root=f"{root}/fact", dedup="new", keys=["o_orderkey"], partition_by=["o_year"])
+    src = table(spark, sf, "orders")
+
+    def transform(block):
+        return block.select("o_orderkey", "o_orderstatus", "o_orderdate",
+                            F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+                            F.year("o_orderdate").alias("o_year"))
+
+    drain_planned(spark, "orders_by_year", src, transform, target, store, D(2024, 2, 1), gate=FAR_GATE,
+                  max_step=4000, pos="o_orderdate", id="o_orderkey")
+    compact_blocks(spark, "orders_by_year", target, store, D(2024, 2, 1))
+    return read_fact(spark, target.root).drop("block_id", "o_year")

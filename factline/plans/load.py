@@ -59,9 +59,16 @@ class PositionStore:
     not touched yet.
     """
 
+    _cache: dict = {}   # path -> {topic: newest row}, shared by every store object of the process
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self._known: dict = {}
+        self._known = PositionStore._cache.setdefault(path.rstrip("/"), {})
+
+    @classmethod
+    def forget(cls, path: str) -> None:
+        """Drop what this process remembers about a store (as a new process would)."""
+        cls._cache.get(path.rstrip("/"), {}).clear()
 
     def read(self) -> DataFrame:
         if not _exists(self.spark, self.path):
@@ -427,6 +434,62 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _block_dirs(spark: SparkSession, root: str) -> list[str]:
+    """Block ids present under a fact root (one directory listing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith("block_id="))
+
+
+def compact_blocks(spark: SparkSession, topic: str, target: Target, store: PositionStore, now,
+                   min_blocks: int = 2) -> LoadResult:
+    """K6 for a load's destination: merge its committed block folders into one.
+
+    Protocol: a begin row (topic `<topic>#compact`) names the source blocks; the
+    merged folder is written (Spark's `_SUCCESS` marks it complete); the sources
+    are deleted; a commit row closes it.  A retry after a crash reuses the begin
+    row: it rewrites the merged folder only if it is incomplete (all sources still
+    exist then) and finishes the deletions.  The topic's open block is never
+    touched, so a pending replay keeps its own folder.  With `target.keys` and
+    `target.order` the merge also keeps only the newest row per key (W1).
+    """
+    ctopic = f"{topic}#compact"
+    cur, replay = _open_block(store, ctopic)
+    root = target.root.rstrip("/")
+    if replay:
+        cid, sources = cur["block_id"], [b for b in (cur["published"] or "").split(",") if b]
+    else:
+        open_row, is_open = _open_block(store, topic)
+        busy = {open_row["block_id"]} if is_open else set()
+        sources = [b for b in _block_dirs(spark, root) if b not in busy]
+        if len(sources) < min_blocks:
+            return LoadResult("nojobs", ctopic, message=f"NOJOBS {ctopic}: {len(sources)} block(s)")
+        cid = "c" + xxhash.xxh64_hexdigest(",".join(sources))
+        store.append(ctopic, last=None, nxt=Position(now, 0), rows=len(sources), run=now, processor="Compact",
+                     state="compacting", block_id=cid, published=",".join(sources))
+    path = f"{root}/block_id={cid}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        merged = (spark.read.option("basePath", root).parquet(*[f"{root}/block_id={b}" for b in sources])
+                  .drop("block_id"))
+        if target.dedup == "latest" and target.keys:
+            merged = latest(merged, target.keys, target.order or [])
+        w = (merged.hint("rebalance", *target.partition_by) if target.partition_by else merged).write.mode("overwrite")
+        if target.partition_by:
+            w = w.partitionBy(*target.partition_by)
+        w.parquet(path)
+    for b in sources:
+        if b != cid and _exists(spark, f"{root}/block_id={b}"):
+            _delete_path(spark, f"{root}/block_id={b}")
+    store.append(ctopic, last=Position(now, 0), rows=len(sources), run=now, processor="Compact",
+                 state="compacted", block_id=cid)
+    return LoadResult("replayed" if replay else "done", ctopic, None, Position(now, 0), len(sources), False,
+                      "compacted", cid)
+
+
 def sql_transform(sql: str, **frames: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """A transform written as SQL text (the reference's transform views).
 

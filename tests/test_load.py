@@ -66,6 +66,7 @@ def test_crash_after_write_replays_same_block(spark, tmp):
     write_block(transform(block_filter(src, first.next, plan.next, "o_orderdate", "o_orderkey")), target.root,
                 bid, ["o_month"])
     # more rows "arrive" below the gate meanwhile: the retry must not compute a new next
+    PositionStore.forget(f"{tmp}/pos")
     fresh = PositionStore(spark, f"{tmp}/pos")   # a new process reads the log
     r = load_step(spark, "t", src, transform, target, fresh, D(2024, 1, 1), gate=FAR, max_step=900,
                   pos="o_orderdate", id="o_orderkey")
@@ -134,3 +135,30 @@ def test_planned_drain_equals_stepwise(spark, tmp):
         edges = lambda rs: [(r.next, r.rows) for r in rs if r.status != "nojobs"]
         assert edges(a) == edges(b) and len(edges(a)) >= 3
         assert rows(read_fact(spark, t1.root)) == rows(read_fact(spark, t2.root))
+
+
+def test_compact_blocks_with_crash(spark, tmp):
+    from factline.plans.load import _block_dirs, compact_blocks
+    src = orders(spark)
+    store = PositionStore(spark, f"{tmp}/pos")
+    target = Target(root=f"{tmp}/fact", partition_by=["o_month"], keys=["o_orderkey"])
+    drain(lambda: load_step(spark, "t", src, transform, target, store, D(2024, 1, 1), gate=FAR, max_step=400,
+                            pos="o_orderdate", id="o_orderkey"))
+    before = rows(read_fact(spark, target.root))
+    assert len(_block_dirs(spark, target.root)) == 4
+    # crash after the merged folder is written, before the sources are deleted
+    import factline.plans.load as L
+    real = L._delete_path
+    L._delete_path = lambda *a: (_ for _ in ()).throw(RuntimeError("crash"))
+    try:
+        compact_blocks(spark, "t", target, store, D(2024, 1, 2))
+    except RuntimeError:
+        pass
+    finally:
+        L._delete_path = real
+    PositionStore.forget(f"{tmp}/pos")
+    r = compact_blocks(spark, "t", target, PositionStore(spark, f"{tmp}/pos"), D(2024, 1, 2))
+    assert r.status == "replayed" and len(_block_dirs(spark, target.root)) == 1
+    assert rows(read_fact(spark, target.root)) == before
+    # loading continues on top of the compacted folder without duplicates
+    assert compact_blocks(spark, "t", target, store, D(2024, 1, 3)).status == "nojobs"
