@@ -14,8 +14,7 @@ from ..session import work_dir
 from ..streaming.stream import file_stream, stream_load
 from .catalog_blocks import FACT_SQL, fact_transform
 from .load import (PositionStore, Target, compact_blocks, drain, drain_planned, load_incremental, load_range,
-                   load_reload,
-                   months_between, read_fact, read_published, sql_transform)
+                   load_reload, months_between, read_fact, read_published, sql_transform)
 from .registry import register, table
 
 D = _dt.datetime
