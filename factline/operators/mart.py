@@ -56,8 +56,9 @@ def refresh_rollup(mart: DataFrame, delta: DataFrame, keys: list[str], rules: di
 def recluster(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
     """M4: the same rows range-partitioned and sorted by other columns, so Parquet
     row-group statistics prune reads on them."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    ranged = df.repartitionByRange(partitions, *[F.col(c) for c in cols]) if partitions \
+        else df.repartitionByRange(*[F.col(c) for c in cols])   # AQE sizes the partitions
+    return ranged.sortWithinPartitions(*cols)
 
 
 def build_reverse_index(df: DataFrame, attr: str, ids: list[str], partitions: int | None = None) -> DataFrame:

@@ -218,7 +218,10 @@ def next_now(last: Position | None, now) -> Position | None:
     return nxt if last is None or nxt > last else None
 
 
-def rank_rows(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+RANK_ROWS_PER_PARTITION = 4_000_000
+
+
+def rank_rows(df: DataFrame, order: list[str], partitions: int | None = None, count: int | None = None) -> DataFrame:
     """Global 0-based rank of every row in `order` (a total order), without a
     single-partition window.
 
@@ -228,7 +231,11 @@ def rank_rows(df: DataFrame, order: list[str], partitions: int | None = None) ->
     see the same partitions.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        # enough range partitions that each holds a few million rows, whatever the input size
+        rows = df.count() if count is None else count
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANK_ROWS_PER_PARTITION))
+    n = partitions
     ranged = (df.repartitionByRange(n, *[F.col(c) for c in order]).sortWithinPartitions(*order)
               .checkpoint(eager=True))
     counts = {int(r["p"]): int(r["c"]) for r in
@@ -282,7 +289,8 @@ def plan_blocks(df: DataFrame, last: Position | None, gate, max_step: int, pos:
             pend = pend.checkpoint(eager=True)
         edge = kth_position(pend, cap, count=n)
         pend = pend.filter(at_or_before(edge, "pos", "id"))
-    ranked = rank_rows(pend, ["pos", "id"])
+        n = cap
+    ranked = rank_rows(pend, ["pos", "id"], count=n)
     edges = (ranked.withColumn("block_no", F.floor(F.col("row_rank") / F.lit(max_step)))
              .filter(F.col("block_no") < horizon)
              .groupBy("block_no").agg(F.count(F.lit(1)).alias("rows"), F.max(position("pos", "id")).alias("next"))
