@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import elapsed_seconds, in_time_window, time_delta_seconds, topic_key, ts_lit
+from ..functions.exprs import elapsed_seconds, in_time_window, time_delta_seconds, topic_key, topic_parts, ts_lit
 from .positions import Position, source_position
 
 STUB_FROM = "2099-01-01 00:00:00"   # positions at or after this are always-ready stubs
@@ -33,16 +33,18 @@ def source_positions(spark, sources: dict, pos: str = "pos", id: str = "id") ->
         "topic", F.struct("pos", "id").alias("last"))
 
 
-def current_positions(positions: DataFrame, shard: str | None = None) -> DataFrame:
-    """Newest row per topic, `deleted` processors skipped (D5), own shard or unsharded.
+def current_positions(positions: DataFrame, shard: str | None = None, all_shards: bool = False) -> DataFrame:
+    """Newest row per topic, `deleted` processors skipped (D5), own shard or unsharded
+    unless `all_shards` (reports).
 
     Output adds `t` = topic without its shard suffix.
     """
     p = positions
     if "processor" in p.columns:
         p = p.filter(F.coalesce(F.col("processor"), F.lit("")) != "deleted")
-    sh = F.regexp_extract("topic", r":(.*)$", 1)
-    p = p.filter((sh == "") | (sh == F.lit(shard or "")))
+    if not all_shards:
+        sh = F.regexp_extract("topic", r":(.*)$", 1)
+        p = p.filter((sh == "") | (sh == F.lit(shard or "")))
     if "run" in p.columns:
         w = Window.partitionBy("topic").orderBy(F.col("run").desc(), F.col("last").desc())
     else:
@@ -112,9 +114,26 @@ def readiness(pipelines: DataFrame, positions: DataFrame, now) -> DataFrame:
             .select("table", "gate", F.col("found").cast("bigint").alias("found"), "ready"))
 
 
-def position_report(positions: DataFrame, now) -> DataFrame:
-    """Newest row per topic with elapsed seconds since its run; stubs hidden."""
-    cur = current_positions(positions)
+def table_writes(spark, tables: dict) -> DataFrame:
+    """Newest file modification time of each destination (`table` -> path), from the
+    `_metadata` column of a file scan: one small aggregate per table."""
+    parts = [spark.read.parquet(path).select(F.lit(name).alias("table"),
+                                            F.col("_metadata.file_modification_time").alias("m"))
+             .groupBy("table").agg(F.max("m").cast("timestamp_ntz").alias("parts"))
+             for name, path in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def position_report(positions: DataFrame, now, tables: dict | None = None) -> DataFrame:
+    """Newest row per topic with elapsed seconds since its run; stubs hidden.
+
+    With `tables` (destination table -> path), each row also gets `parts`, the last
+    write to its destination, matched on the topic without `#tag` and `:shard` (D4).
+    """
+    cur = current_positions(positions, all_shards=True)
     now_l = ts_lit(now)
     out = cur.filter(F.col("last.pos") < ts_lit(STUB_FROM)).filter(F.col("topic") != "null")
     cols = [F.col("topic"), F.col("last.pos").alias("last"), F.col("last.id").alias("last_id")]
@@ -122,7 +141,10 @@ def position_report(positions: DataFrame, now) -> DataFrame:
         cols.append(elapsed_seconds("run", now_l).alias("elapsed_s"))
     if "rows" in cur.columns:
         cols.append(F.col("rows"))
-    return out.select(*cols)
+    rep = out.withColumn("table", topic_parts("topic")["table"]).select(*cols, "table")
+    if tables:
+        rep = rep.join(table_writes(positions.sparkSession, tables), "table", "left")
+    return rep.drop("table")
 
 
 def precheck_message(topic: str, last: Position | None, nxt: Position | None, rows: int,

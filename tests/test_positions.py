@@ -140,3 +140,32 @@ def test_plan_blocks_horizon(spark):
     full = plan_blocks(o, None, D(2099, 1, 1), 200, "o_orderdate", "o_orderkey", horizon=1000)
     part = plan_blocks(o, None, D(2099, 1, 1), 200, "o_orderdate", "o_orderkey", horizon=3)
     assert part == full[:3] and len(full) == 8 and sum(b.rows for b in full) == 1500
+
+
+def test_gate_decisions(spark):
+    """D5 deleted processors skipped, D28 own shard or unsharded only, D29 laggard ties by name, D7 NULL blocks."""
+    schema = "topic string, last struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, processor string"
+    t = D(2024, 1, 1)
+    pos = spark.createDataFrame([
+        ("b", (t, 0), t, "Step"),
+        ("a", (t, 0), t, "Step"),                                        # tie with b: smallest name wins
+        ("c", (D(2023, 1, 1), 0), D(2024, 1, 2), "deleted"),             # newest row deleted: skipped
+        ("c", (D(2024, 6, 1), 0), t, "Step"),
+        ("d:2", (D(2020, 1, 1), 0), t, "Step"),                          # another shard: ignored
+        ("d:1", (D(2025, 1, 1), 0), t, "Step"),
+    ], schema)
+    gate, lag = dep_gate(pos, ["a", "b", "c", "d"], 0, D(2030, 1, 1), shard="1")
+    assert (gate, lag) == (t, "a")
+    nul = spark.createDataFrame([("a", None, t, "Step"), ("b", (t, 0), t, "Step")], schema)
+    assert dep_gate(nul, ["a", "b"], 0, D(2030, 1, 1))[0] is None
+
+
+def test_position_report_with_table_writes(spark, tmp_path):
+    from factline.operators.gate import position_report
+    path = str(tmp_path / "fact")
+    spark.range(3).write.parquet(path)
+    pos = spark.createDataFrame([("Fact.T#x:1", (D(2024, 1, 1), 5), D(2024, 1, 1), 3),
+                                 ("stub", (D(2099, 12, 31), 0), D(2024, 1, 1), 0)],
+                                "topic string, last struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, rows bigint")
+    rows = position_report(pos, D(2024, 1, 2), tables={"Fact.T": path}).collect()
+    assert len(rows) == 1 and rows[0]["elapsed_s"] == 86400 and rows[0]["parts"] is not None
