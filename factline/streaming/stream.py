@@ -106,3 +106,10 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stream_dedup(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
+    """S6 on a stream: drop rows whose keys were already seen, keeping state only
+    for `delay` behind the event-time watermark (`dropDuplicatesWithinWatermark`)."""
+    return (df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+            .dropDuplicatesWithinWatermark(keys))

@@ -162,3 +162,15 @@ def test_compact_blocks_with_crash(spark, tmp):
     assert rows(read_fact(spark, target.root)) == before
     # loading continues on top of the compacted folder without duplicates
     assert compact_blocks(spark, "t", target, store, D(2024, 1, 3)).status == "nojobs"
+
+
+def test_stream_dedup(spark, tmp):
+    from factline.streaming.stream import stream_dedup
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id")
+    ev.write.parquet(f"{tmp}/a")
+    ev.write.parquet(f"{tmp}/b")          # the same rows delivered twice
+    src = file_stream(spark, f"{tmp}/[ab]", ev.schema, max_files=1)
+    target = Target(root=f"{tmp}/fact", dedup=None)
+    stream_load(spark, stream_dedup(src, ["event_id"], "ts", "365 days"), "s", lambda b: b, target, f"{tmp}/ck")
+    f = read_fact(spark, target.root)
+    assert f.count() == ev.count()
