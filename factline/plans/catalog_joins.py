@@ -80,11 +80,9 @@ def q_dedup_insert(spark, sf):
 @register("kv_lookup", """
 SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment, CAST(c.c_acctbal AS DECIMAL(18,2)) AS c_acctbal
 FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey
-WHERE o.o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o.o_orderdate < TIMESTAMP '1997-01-01 00:00:00'
 """)
 def q_kv_lookup(spark, sf):
-    block = block_filter(table(spark, sf, "orders"), Position(D(1995, 12, 31, 23, 59, 59, 999999), 2 ** 62),
-                         Position(D(1996, 12, 31, 23, 59, 59, 999999), 2 ** 62), "o_orderdate", "o_orderkey")
+    block = table(spark, sf, "orders")
     kv = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
     j = kv_join(block, kv, [("o_custkey", "c_custkey")], kv_order=["c_acctbal"], kv_keys=["c_custkey"])
     return j.select("o_orderkey", "o_custkey", "c_name", "c_mktsegment",
@@ -169,14 +167,11 @@ SELECT o.o_orderkey, CAST(coalesce(l.chunk_no, 0) AS INT) AS chunk_no, CAST(coun
        coalesce(string_agg(CAST(l.l_linenumber AS VARCHAR) || ':' || CAST(l.l_partkey AS VARCHAR), ','
                            ORDER BY l.l_linenumber, l.l_shipdate, l.l_partkey, l.l_suppkey), '') AS lines
 FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey
-WHERE o.o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o.o_orderdate < TIMESTAMP '1996-02-01 00:00:00'
 GROUP BY o.o_orderkey, l.chunk_no
 """)
 def q_nest_children(spark, sf):
-    o = table(spark, sf, "orders").filter((F.col("o_orderdate") >= ts_lit(D(1996, 1, 1))) &
-                                          (F.col("o_orderdate") < ts_lit(D(1996, 2, 1)))).select("o_orderkey")
+    o = table(spark, sf, "orders").select("o_orderkey")
     li = table(spark, sf, "lineitem")
-    li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     nested = nest_children_chunked(o.withColumnRenamed("o_orderkey", "l_orderkey"), li, "l_orderkey",
                                    ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"], [], NEST_CHUNK,
                                    "children")
@@ -192,12 +187,9 @@ def q_nest_children(spark, sf):
 @register("repair_missing", """
 SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE o.o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o.o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
 """)
 def q_repair_missing(spark, sf):
-    o = table(spark, sf, "orders").filter((F.col("o_orderdate") >= ts_lit(D(1997, 1, 1))) &
-                                          (F.col("o_orderdate") < ts_lit(D(1998, 1, 1)))) \
-        .select("o_orderkey", "o_custkey")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf, "customer")
     early = dim_lookup(o, cust.filter(F.col("c_acctbal") > 0), [("o_custkey", "c_custkey")],
                        ["c_name", "c_mktsegment"])
