@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookup import latest, new_rows
-from ..plans.load import Target, append_log, conform, read_fact, write_block
+from ..plans.load import Target, append_log, block_partitions, conform, read_fact, write_block
 
 
 def block_writer(spark: SparkSession, topic: str, transform: Callable[[DataFrame], DataFrame], target: Target,
@@ -30,7 +30,8 @@ def block_writer(spark: SparkSession, topic: str, transform: Callable[[DataFrame
         if target.dedup == "new" and target.keys:
             fact = read_fact(spark, target.root, exclude_block=block_id)
             if fact is not None:
-                out = new_rows(out, fact, target.keys, max_block_rows=max_rows)
+                out = new_rows(out, fact, target.keys, max_block_rows=max_rows,
+                               prune=block_partitions(out, target.prune_by))
         if target.schema:
             out = conform(out, target.schema)
         metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,
