@@ -200,3 +200,30 @@ def q_compact_blocks(spark, sf):
                   max_step=4000, pos="o_orderdate", id="o_orderkey")
     compact_blocks(spark, "orders_by_year", target, store, D(2024, 2, 1))
     return read_fact(spark, target.root).drop("block_id", "o_year")
+
+
+# ------------------------------------------------------------------ load_log (Q1 + Q2 from a real load)
+@register("load_log", """
+SELECT 'orders_checked' AS topic, count(*) AS rows, max(o_orderkey) AS max_id, min(o_orderdate) AS min_ts,
+       max(o_orderdate) AS max_ts,
+       concat_ws(',',
+         CASE WHEN count(*) FILTER (WHERE o_totalprice > 300000) > 0
+              THEN 'high_price=' || count(*) FILTER (WHERE o_totalprice > 300000) END,
+         CASE WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') > 0
+              THEN 'urgent=' || count(*) FILTER (WHERE o_orderpriority = '1-URGENT') END) AS nulls
+FROM orders
+""")
+def q_load_log(spark, sf):
+    from ..operators.audit import merge_log
+    from .catalog_aggs import _map_text
+    root = work_dir(spark, "load_log")
+    store = PositionStore(spark, f"{root}/positions")
+    target = Target(root=f"{root}/fact", dedup=None, log_ts="o_orderdate", log_id="o_orderkey",
+                    checks={"high_price": F.col("o_totalprice") > 300000,
+                            "urgent": F.col("o_orderpriority") == "1-URGENT"})
+    src = table(spark, sf, "orders")
+    drain_planned(spark, "orders_checked", src, lambda b: b.select("o_orderkey", "o_orderdate", "o_totalprice",
+                                                                    "o_orderpriority"),
+                  target, store, D(2024, 2, 1), gate=FAR_GATE, max_step=5000, pos="o_orderdate", id="o_orderkey")
+    merged = merge_log(store.block_log())
+    return merged.select("topic", "rows", "max_id", "min_ts", "max_ts", _map_text("nulls").alias("nulls"))
