@@ -81,6 +81,20 @@ def dep_gate(positions: DataFrame, deps: list[str], delay_s: int, now, strict: b
     return r["gate"], r["laggard"]
 
 
+def pipelines_from(lineage: DataFrame, destinations: DataFrame) -> DataFrame:
+    """Lineage rows (table, depends_on, delay, repeat, time) completed with each
+    destination's newest position row (last, run, processor, hostid), e.g. from a
+    load's `PositionStore.read()`.  Destinations never loaded start at NULL `last`."""
+    cur = current_positions(destinations, all_shards=True).select(
+        F.col("topic").alias("table"), F.col("last.pos").alias("last"), "run",
+        F.coalesce(F.col("processor"), F.lit("")).alias("processor"),
+        F.coalesce(F.col("hostid"), F.lit("")).alias("hostid"))
+    return lineage.join(cur, "table", "left").select(
+        "table", "depends_on", "delay", "repeat", "time", "last", "run",
+        F.coalesce(F.col("processor"), F.lit("")).alias("processor"),
+        F.coalesce(F.col("hostid"), F.lit("")).alias("hostid"))
+
+
 def readiness(pipelines: DataFrame, positions: DataFrame, now) -> DataFrame:
     """Which pipelines may run at `now`.
 
@@ -106,7 +120,8 @@ def readiness(pipelines: DataFrame, positions: DataFrame, now) -> DataFrame:
     gate = F.when(F.col("found") > 0,
                   F.least(F.col("mins"), F.timestamp_add("SECOND", -F.col("delay_s"), now_l)))
     full = F.col("processor").like("Full%") & (F.coalesce(F.col("hostid"), F.lit("")) == "")
-    behind = (F.col("last") < F.col("gate")) & (elapsed_seconds("run", now_l) > F.col("repeat_s"))
+    behind = F.coalesce(F.col("last") < F.col("gate"), F.col("gate").isNotNull()) & \
+        F.coalesce(elapsed_seconds("run", now_l) > F.col("repeat_s"), F.lit(True))
     in_window = in_time_window(now_l, F.coalesce(F.col("time"), F.lit(""))) | \
         (F.col("last") < now_l - F.expr("INTERVAL 1 DAY"))
     return (g.withColumn("gate", gate)

@@ -169,3 +169,18 @@ def test_position_report_with_table_writes(spark, tmp_path):
                                 "topic string, last struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, rows bigint")
     rows = position_report(pos, D(2024, 1, 2), tables={"Fact.T": path}).collect()
     assert len(rows) == 1 and rows[0]["elapsed_s"] == 86400 and rows[0]["parts"] is not None
+
+
+def test_readiness_from_store(spark, tmp_path):
+    from factline.operators.gate import pipelines_from
+    from factline.plans.load import PositionStore
+    store = PositionStore(spark, str(tmp_path / "pos"))
+    store.append("fact_x", last=Position(D(2024, 1, 1), 3), run=D(2024, 1, 1), processor="Step")
+    lineage = spark.createDataFrame([("fact_x", "src", "", "", ""), ("fact_new", "src", "", "", "")],
+                                    "table string, depends_on string, delay string, repeat string, time string")
+    src = spark.createDataFrame([("src", (D(2024, 1, 5), 9))], "topic string, last struct<pos:timestamp_ntz,id:bigint>")
+    got = {r["table"]: r["ready"] for r in readiness(pipelines_from(lineage, store.read()), src, D(2024, 1, 6)).collect()}
+    assert got == {"fact_x": True, "fact_new": True}
+    got = {r["table"]: r["ready"] for r in readiness(pipelines_from(lineage, store.read()), src, D(2024, 1, 1, 0, 30))
+           .collect()}
+    assert got["fact_x"] is False   # behind the gate, but the 1 h default repeat is not over yet
