@@ -193,20 +193,29 @@ def nest_children_chunked(parent: DataFrame, child: DataFrame, key: list[str] |
     """J6 with a bound on the array size: children of a parent are split, in order,
     into chunks of at most `chunk_rows`; output is one row per (parent, chunk_no).
 
-    Children are ranked globally by (key, order) with a range exchange, so a parent
-    with a third of all children is spread over many tasks; its first rank (a
-    partial aggregate) turns the global rank into a rank inside the parent.  Every
-    collected group then holds at most `chunk_rows` children.  Parents without
-    children get one row with chunk 0 and a NULL array.
+    Children are counted per parent first (partial aggregation).  Parents with at
+    most `chunk_rows` children are grouped directly into chunk 0.  Only the
+    children of larger parents are ranked globally by (key, order) with a range
+    exchange, so a parent with a third of all children is spread over many tasks;
+    its first rank turns the global rank into a rank inside the parent.  Every
+    collected group holds at most `chunk_rows` children.  Parents without children
+    get one row with chunk 0 and a NULL array.
     """
     from .positions import rank_rows
     keys = [key] if isinstance(key, str) else list(key)
     cols = order + [f for f in fields if f not in order]
-    ranked = rank_rows(child.select(*keys, *cols), keys + order)
-    first = ranked.groupBy(*keys).agg(F.min("row_rank").alias("_first"))
-    chunked = ranked.join(first, keys).withColumn(
-        "chunk_no", F.floor((F.col("row_rank") - F.col("_first")) / F.lit(chunk_rows)).cast("int"))
-    packed = chunked.groupBy(*keys, "chunk_no").agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias(name))
+    kids = child.select(*keys, *cols)
+    sizes = kids.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    big_keys = sizes.filter(F.col("_n") > chunk_rows).select(*keys)
+    pack = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias(name)
+    small = (kids.join(sizes.filter(F.col("_n") <= chunk_rows).select(*keys), keys, "left_semi")
+             .groupBy(*keys).agg(pack).withColumn("chunk_no", F.lit(0)))
+    packed = small.select(*keys, "chunk_no", name)
+    if big_keys.limit(1).count() > 0:
+        ranked = rank_rows(kids.join(big_keys, keys, "left_semi"), keys + order)
+        first = ranked.groupBy(*keys).agg(F.min("row_rank").alias("_first"))
+        chunked = ranked.join(first, keys).withColumn(
+            "chunk_no", F.floor((F.col("row_rank") - F.col("_first")) / F.lit(chunk_rows)).cast("int"))
+        packed = packed.unionByName(chunked.groupBy(*keys, "chunk_no").agg(pack).select(*keys, "chunk_no", name))
     out = parent.join(packed, keys, "left")
     return out.withColumn("chunk_no", F.coalesce(F.col("chunk_no"), F.lit(0)))
