@@ -87,3 +87,34 @@ def test_check_raises(spark):
     with pytest.raises(CheckFailed):
         check(df, F.col("x") < 0, "ERROR", "negative")
     assert check(df, F.col("x") > 5, "ERROR", "big") == 0
+
+
+def test_uniq_count_exact_and_approx(spark):
+    from factline.operators.merge import uniq_count
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("day", F.to_date("ts"))
+    exact = {r["day"]: r["uniq"] for r in uniq_count(ev, ["day"], "user_id").collect()}
+    approx = {r["day"]: r["uniq"] for r in uniq_count(ev, ["day"], "user_id", exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(2, 0.1 * exact[d]) for d in exact)
+
+
+def test_backup_increment_and_restore(spark):
+    from factline.operators.positions import Position
+    from factline.operators.upsert import backup_increment, restore
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id")
+    cut = ev.orderBy("ts", "event_id").limit(600).agg(F.max(F.struct("ts", "event_id"))).first()[0]
+    since = Position(cut["ts"], cut["event_id"])
+    full = ev.filter((F.col("ts") < F.lit(since.pos.isoformat(sep=" ")).cast("timestamp_ntz")) |
+                     ((F.col("ts") == F.lit(since.pos.isoformat(sep=" ")).cast("timestamp_ntz")) &
+                      (F.col("event_id") <= since.id)))
+    inc = backup_increment(ev, since, "ts", "event_id")
+    assert full.count() + inc.count() == ev.count()
+    back = restore([full, inc, inc], ["event_id"], ["ts"])   # an increment applied twice changes nothing
+    assert back.count() == ev.count()
+
+
+def test_dim_is_unique(spark):
+    from factline.operators.lookup import dim_is_unique
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    assert dim_is_unique(nation, ["n_nationkey"])
+    assert not dim_is_unique(nation, ["n_regionkey"])
