@@ -118,3 +118,33 @@ def test_dim_is_unique(spark):
     nation = spark.read.parquet(f"{SF}/nation.parquet")
     assert dim_is_unique(nation, ["n_nationkey"])
     assert not dim_is_unique(nation, ["n_regionkey"])
+
+
+def test_kv_join_composite_and_repair(spark):
+    from factline.operators.lookup import dim_lookup, kv_join, repair_missing
+    block = spark.createDataFrame([(1, "x", 10), (2, "y", 20), (3, "x", 30)], "acct int, brand string, v int")
+    kv = spark.createDataFrame([(1, "x", "EUR", 1), (1, "x", "USD", 2), (2, "z", "GBP", 1)],
+                               "acct int, brand string, currency string, ver int")
+    got = {(r.acct, r.brand): r.currency for r in kv_join(block, kv, ["acct", "brand"], kv_order=["ver"]).collect()}
+    assert got == {(1, "x"): "USD", (2, "y"): None, (3, "x"): None}     # newest version; unmatched kept
+    dim_early = spark.createDataFrame([(1, "a")], "k int, name string")
+    dim_full = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    fact = dim_lookup(spark.createDataFrame([(1,), (2,)], "k int"), dim_early, ["k"], ["name"])
+    fixed = sorted(tuple(r) for r in repair_missing(fact, dim_full, ["k"], ["name"]).collect())
+    assert fixed == [(1, "a"), (2, "b")]
+
+
+def test_prefilter_range_empty_block(spark):
+    from factline.operators.lookup import prefilter_range
+    right = spark.createDataFrame([(1,), (5,)], "k int")
+    left = spark.createDataFrame([], "k int")
+    assert prefilter_range(right, left, "k").count() == 0
+    assert prefilter_range(right, spark.createDataFrame([(4,), (9,)], "k int"), "k").collect()[0]["k"] == 5
+
+
+def test_sql_transform(spark):
+    from factline.plans.load import sql_transform
+    block = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
+    dim = spark.createDataFrame([(1, "a")], "k int, name string")
+    t = sql_transform("SELECT b.k, b.v, d.name FROM {block} b LEFT JOIN {dim} d ON b.k = d.k", dim=dim)
+    assert sorted(tuple(r) for r in t(block).collect()) == [(1, 10, "a"), (2, 20, None)]
