@@ -189,3 +189,11 @@ def test_shard_union_equals_unsharded(spark, tmp):
                                             max_step=500, pos="o_orderdate", id="o_orderkey"))
     assert rows(read_fact(spark, target.root)) == rows(src)
     assert store.current("t:0")["last"] != store.current("t:1")["last"]
+
+
+def test_months_between():
+    from factline.operators.positions import Position
+    from factline.plans.load import months_between
+    f = months_between("m")
+    assert f(Position(D(1996, 11, 30), 1), Position(D(1997, 2, 1), 0)) == {"m": [199611, 199612, 199701, 199702]}
+    assert f(None, Position(D(1997, 2, 1), 0)) is None
