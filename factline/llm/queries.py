@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, lines, lm, mixing, quality, simhash, tokens
+from . import decontam, exact, langid, lines, lm, mixing, quality, simhash, suffix, tokens
 from .common import read_benchmark, read_documents
 
 
@@ -25,6 +25,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(read_documents(spark, sf_dir), read_benchmark(spark, sf_dir)).drop("_row")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_dedup(read_documents(spark, sf_dir)).drop("spans")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir)).drop("_row")
 
