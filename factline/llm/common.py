@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
@@ -27,10 +27,9 @@ def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z lower-cased, every other character as it is."""
-    upper = "".join(map(chr, range(65, 91)))
-    return F.translate(text, upper, upper.lower())
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(_row, _doc) with each row of ``docs`` as one struct, so that its column names can't clash with others."""
+    return with_row_id(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")))
 
 
 def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

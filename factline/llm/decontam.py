@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, with_row_id
+from .common import cut, whole_rows, with_row_id
 
 #: Placeholder openings of numbers, names and units, and their end: characters for private use.
-NUMBER, NAME, UNIT, END = "", "", "", ""
-_SPLIT = ""
+NUMBER, NAME, UNIT, END = "\ue001", "\ue002", "\ue003", "\ue004"
+_SPLIT = "\ue005"
 UNITS = ("km/h|mph|kmh|kilometers?|kilometres?|km|centimeters?|centimetres?|cm|millimeters?|mm|meters?|metres?|miles?|mi|feet|foot|ft|inch(?:es)?|"
          "kilograms?|kg|milligrams?|mg|grams?|g|pounds?|lbs?|ounces?|oz|tons?|liters?|litres?|ml|gallons?|l|"
          "seconds?|secs?|s|minutes?|mins?|min|hours?|hrs?|h|days?|weeks?|months?|years?|yrs?|"
@@ -32,7 +32,7 @@ def template(text: Column, with_values: bool) -> Column:
     text = F.regexp_replace(text, _NAME_RE, NAME + name + END)
     text = F.regexp_replace(text, _NUMBER_RE, NUMBER + number + END + UNIT + unit + END)
     marks = f"{NUMBER}{NAME}{UNIT}"
-    text = F.regexp_replace(F.lower(text), rf"([{marks}][^{END}]*{END})|[^\p{{L}}\p{{N}}]+", _SPLIT + "$1" + _SPLIT)
+    text = F.regexp_replace(F.lower(text), rf"([{marks}][^{END}]*{END})|[^\p{{L}}\p{{N}}{marks}]+", _SPLIT + "$1" + _SPLIT)
     return F.filter(F.split(text, f"{_SPLIT}+"), lambda t: t != "")
 
 
@@ -99,4 +99,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_wor
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
     bad = decontaminate(docs, benchmark).filter("contaminated").select("_row")
-    return with_row_id(docs).join(bad, "_row", "left_anti").drop("_row")
+    return whole_rows(docs).join(bad, "_row", "left_anti").select("_doc.*")

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_rows
+
 UNDETERMINED = "und"
 #: n-gram lengths in bytes; each has a table of its own.
 LENGTHS = (1, 2, 3, 4)
@@ -194,6 +196,5 @@ def identify(docs: DataFrame, divisor: int = 4, remainders=(2,), bits: int = 16,
 
 def known_language(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a language that holds at least ``min_score`` of their words; 'und' goes."""
-    columns = docs.columns
-    found = identify(docs)
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*columns)
+    found = identify(whole_rows(docs).select("_doc", "_doc.doc_id", "_doc.text", "_doc.lang"))
+    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("_doc.*")

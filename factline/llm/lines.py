@@ -272,7 +272,8 @@ def _probe_routed(rows, shards, n_shards, min_length, with_text, salts) -> DataF
     probes = rows.mapInPandas(emit, "_row long, doc_id long, number long, slot long, print long, shard int")
     probes = probes.withColumns({"salt": F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"), "arrays": F.lit(None).cast("binary")})
     arrays = shards.select("shard", "arrays", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    both = probes.unionByName(arrays, allowMissingColumns=True)
+    # zeros, not nulls, beside the arrays: pandas would turn the hashes into floats
+    both = probes.unionByName(arrays.withColumns({c: F.lit(0).cast("long") for c in ("_row", "doc_id", "number", "slot", "print")}))
     both = both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("arrays").isNull())
 
     def probe(batches):

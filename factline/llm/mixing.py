@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, with_row_id
+from .common import SPACES, cut, whole_rows, with_row_id
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (5, 2, 1)
@@ -132,5 +132,5 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it has copies."""
     taken = mix(docs, **options).filter("copies > 0").select("_row", "copies")
-    both = with_row_id(docs).join(taken, "_row")
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    both = whole_rows(docs).join(taken, "_row")
+    return both.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")

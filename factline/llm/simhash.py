@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, with_row_id
+from .common import cut, whole_rows, with_row_id
 from .components import components
 
 #: Bits of the three parts, from the highest bit down.
@@ -240,4 +240,4 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> D
     """The rows of ``docs`` that stay: of every component the row with its smallest doc_id, of repeats the first."""
     found = simhash_components(docs, shingle, max_distance)
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row")).alias("first"))
-    return with_row_id(docs).join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").drop("_row")
+    return whole_rows(docs).join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").select("_doc.*")
