@@ -73,12 +73,12 @@ def error_summary(errors: DataFrame, now, ts: str = "ts", topic: str = "topic",
 
 
 def rate_report(log: DataFrame, runs: DataFrame) -> DataFrame:
-    """Q4: log joined to run metrics on run id: seconds, rows and rows per hour."""
+    """Q4: log joined to run metrics on run id: rounded seconds, rows and rows per second."""
     ex = log.select("topic", "rows", "max_ts", F.explode("run_ids").alias("run_id"))
     j = ex.join(runs, "run_id")
-    dur = (F.col("duration_ms") / 1000).cast("bigint")
+    dur = F.round(F.col("duration_ms") / 1000).cast("bigint")
     return j.select("run_id", "topic", "rows", "max_ts", dur.alias("dur_s"),
-                    F.when(dur > 0, F.floor(F.col("rows") * 3600 / dur).cast("bigint")).alias("rows_per_hour"))
+                    F.when(dur > 0, F.round(F.col("rows") / dur, 6)).alias("rows_per_sec"))
 
 
 def last_run(log: DataFrame, topic: str, now, within_s: int = 3600) -> DataFrame:

@@ -34,22 +34,22 @@ def source_positions(spark, sources: dict, pos: str = "pos", id: str = "id") ->
 
 
 def current_positions(positions: DataFrame, shard: str | None = None, all_shards: bool = False) -> DataFrame:
-    """Newest row per topic, `deleted` processors skipped (D5), own shard or unsharded
-    unless `all_shards` (reports).
+    """Newest row per topic, topics whose newest row is `deleted` skipped (D5), own shard or
+    unsharded (D28) unless `all_shards` (reports).
 
-    Output adds `t` = topic without its shard suffix.
+    Newest by `seq` within a run where the log has one (a begin and a commit row can tie on
+    everything else).  Output adds `t` = topic without its shard suffix.
     """
     p = positions
-    if "processor" in p.columns:
-        p = p.filter(F.coalesce(F.col("processor"), F.lit("")) != "deleted")
     if not all_shards:
         sh = F.regexp_extract("topic", r":(.*)$", 1)
         p = p.filter((sh == "") | (sh == F.lit(shard or "")))
-    if "run" in p.columns:
-        w = Window.partitionBy("topic").orderBy(F.col("run").desc(), F.col("last").desc())
-    else:
-        w = Window.partitionBy("topic").orderBy(F.col("last").desc())
+    newest = [F.col(c).desc() for c in ("run", "seq") if c in p.columns] + [F.col("last").desc()]
+    w = Window.partitionBy("topic").orderBy(*newest)
     p = p.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    if "processor" in p.columns:
+        # after the choice: the append-only log still holds older rows of a deleted topic
+        p = p.filter(F.coalesce(F.col("processor"), F.lit("")) != "deleted")
     return p.withColumn("t", topic_key("topic"))
 
 
@@ -123,7 +123,7 @@ def readiness(pipelines: DataFrame, positions: DataFrame, now) -> DataFrame:
     behind = F.coalesce(F.col("last") < F.col("gate"), F.col("gate").isNotNull()) & \
         F.coalesce(elapsed_seconds("run", now_l) > F.col("repeat_s"), F.lit(True))
     in_window = in_time_window(now_l, F.coalesce(F.col("time"), F.lit(""))) | \
-        (F.col("last") < now_l - F.expr("INTERVAL 1 DAY"))
+        F.coalesce(F.col("last") < now_l - F.expr("INTERVAL 1 DAY"), F.lit(True))   # never loaded: as if long ago
     return (g.withColumn("gate", gate)
             .withColumn("ready", F.coalesce((full | behind) & in_window, F.lit(False)))
             .select("table", "gate", F.col("found").cast("bigint").alias("found"), "ready"))

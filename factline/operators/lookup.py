@@ -90,21 +90,40 @@ def dim_is_unique(dim: DataFrame, keys: list[str]) -> bool:
     return dim.groupBy(*keys).count().filter("count > 1").limit(1).count() == 0
 
 
-def new_rows(block: DataFrame, fact: DataFrame, keys: list[str], max_block_rows: int | None = None,
-             prune: dict | None = None) -> DataFrame:
-    """L3: rows of the block whose keys the fact does not hold yet.
-
-    The fact side is first narrowed to the block's keys (`fact IN block`, a left
-    semi join that broadcasts the block keys when their count is bounded) and by
-    literal partition values (`prune`), then the block is anti-joined to that small
-    set.  No `NOT IN`: it plans a null-aware anti join.
+def first_rows(block: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
+    """L3 inside a block: the first version of each key by `order` (any one without it);
+    rows with a NULL in the key are no duplicates of each other and all stay."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    keyed = block.filter(known)
+    if order:
+        w = Window.partitionBy(*keys).orderBy(*[as_col(c) for c in order])
+        keyed = keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    else:
+        keyed = keyed.dropDuplicates(keys)
+    return keyed.unionByName(block.filter(~known))
+
+
+def new_rows(block: DataFrame, fact: DataFrame | None, keys: list[str], max_block_rows: int | None = None,
+             prune: dict | None = None, order: list | None = None) -> DataFrame:
+    """L3: rows of the block whose keys the fact does not hold yet, one per key (`first_rows`),
+    so that the fact does not depend on where blocks end.
+
+    The fact side is first narrowed to the block's keys (`fact IN block`) and by partition
+    values (`prune`, NULL among them), then the block is anti-joined to that small set.
+    AQE broadcasts from real sizes; no `NOT IN`: it plans a null-aware anti join.
     """
+    block = first_rows(block, keys, order)
+    if fact is None:
+        return block
     narrowed = fact
     for c, values in (prune or {}).items():
-        narrowed = narrowed.filter(F.col(c).isin(list(values)))
+        inside = F.col(c).isin([v for v in values if v is not None])
+        narrowed = narrowed.filter(inside | F.col(c).isNull() if any(v is None for v in values) else inside)
     fk = narrowed.select(*keys)
     bkeys = block.select(*keys).distinct()
-    seen = fk.join(broadcast_if_bounded(bkeys, max_block_rows), keys, "left_semi").distinct()
+    seen = fk.join(bkeys, keys, "left_semi").distinct()
     return block.join(seen, keys, "left_anti")
 
 

@@ -41,16 +41,13 @@ MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 def refresh_rollup(mart: DataFrame, delta: DataFrame, keys: list[str], rules: dict) -> DataFrame:
     """M3: fold the rollup of a new block into the mart.
 
-    Only groups present in `delta` are recombined (sum/min/max are mergeable); the
-    other groups pass through untouched.  For mutable facts, feed signed deltas
+    sum/min/max are mergeable, so mart and delta are combined by one grouping, in which
+    a NULL dimension is a value like others.  For mutable facts, feed signed deltas
     (sum of sign * x) and they cancel the old contribution.
     """
-    # `delta` is itself a rollup, one row per key: no distinct needed
-    touched = mart.join(delta.select(*keys), keys, "left_semi")
-    untouched = mart.join(delta.select(*keys), keys, "left_anti")
-    merged = touched.unionByName(delta.select(*mart.columns)).groupBy(*keys).agg(
+    merged = mart.unionByName(delta.select(*mart.columns)).groupBy(*keys).agg(
         *[MERGE[r](F.col(c)).alias(c) for c, r in rules.items()])
-    return untouched.unionByName(merged.select(*mart.columns))
+    return merged.select(*mart.columns)
 
 
 def recluster(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
@@ -67,19 +64,14 @@ def build_reverse_index(df: DataFrame, attr: str, ids: list[str], partitions: in
 
 
 def lookup_via_index(index: DataFrame, wide: DataFrame, attr: str, value, ids: list[str],
-                     wide_ids: list[str] | None = None, inline_max: int = 1000) -> DataFrame:
-    """M5 lookup: resolve ids from the index, then read the wide table.
+                     wide_ids: list[str] | None = None) -> DataFrame:
+    """M5 lookup: resolve ids from the clustered index, then semi join the wide table.
 
-    Few ids (at most `inline_max`, checked by a count) become an IN-list literal
-    that reaches the scan; more ids use a semi join.
+    One plan for any number of ids: the filter on `attr` prunes the index, and Spark
+    broadcasts few ids or builds a runtime filter from them.
     """
     wide_ids = wide_ids or ids
     hits = index.filter(F.col(attr) == F.lit(value)).select(*ids).distinct()
-    if len(ids) == 1:
-        n = hits.count()
-        if n <= inline_max:
-            vals = [r[0] for r in hits.collect()]
-            return wide.filter(F.col(wide_ids[0]).isin(vals))
     renamed = hits.select(*[F.col(a).alias(b) for a, b in zip(ids, wide_ids)])
     return wide.join(renamed, wide_ids, "left_semi")
 

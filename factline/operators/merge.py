@@ -59,14 +59,16 @@ def merge_streams(parts: list[DataFrame], key: list[str] | str, rules: dict) ->
     return u.groupBy(*keys).agg(*aggs)
 
 
-def idem_sum(df: DataFrame, key: list[str] | str, row_id: str, value: str, name: str = "total") -> DataFrame:
+def idem_sum(df: DataFrame, key: list[str] | str, row_id: str, value: str, name: str = "total",
+             version: str | None = None) -> DataFrame:
     """Sum where each (key, row_id) counts once, however often it arrives.
 
-    Duplicates are removed by a distinct on (key, row_id, value) first (partial
-    aggregation, then shuffle on the whole tuple), then summed per key.
+    Of several values of one (key, row_id), that with the largest `version` counts, without
+    one the largest value: the result does not depend on the order of arrival.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    uniq = df.select(*keys, row_id, value).dropDuplicates([*keys, row_id])
+    pick = F.max_by(value, F.struct(version, value)) if version else F.max(value)
+    uniq = df.groupBy(*keys, row_id).agg(pick.alias(value))
     return uniq.groupBy(*keys).agg(F.sum(value).alias(name), F.count(F.lit(1)).alias("n"))
 
 

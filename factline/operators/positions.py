@@ -145,7 +145,8 @@ def kth_position(df: DataFrame, k: int, pos: str = "pos", id: str = "id",
             lo_i = int(st["lo_i"])
             span = int(st["hi_i"]) - lo_i + 1
             width = -(-span // buckets)
-            key = F.expr(f"(id - ({lo_i})) div {width}")
+            # decimals: the distance of two hashed ids doesn't fit in 64 bits
+            key = F.expr(f"(CAST(id AS DECIMAL(20,0)) - CAST('{lo_i}' AS DECIMAL(20,0))) div CAST('{width}' AS DECIMAL(20,0))")
         hist = sorted((int(r["b"]), int(r["n"])) for r in
                       cur.groupBy(key.cast("bigint").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
         seen = 0
@@ -161,7 +162,7 @@ def kth_position(df: DataFrame, k: int, pos: str = "pos", id: str = "id",
             cur = cur.filter((F.col("pos") >= ts_lit(b_lo)) & (F.col("pos") < ts_lit(b_hi)))
         else:
             b_lo = lo_i + b * width
-            cur = cur.filter((F.col("id") >= F.lit(b_lo)) & (F.col("id") < F.lit(b_lo + width)))
+            cur = cur.filter(F.col("id").between(F.lit(b_lo), F.lit(min(b_lo + width, 2**63) - 1)))
 
 
 # ---------------------------------------------------------------- block planning

@@ -32,15 +32,27 @@ def replace_latest(fact: DataFrame, new: DataFrame, keys: list[str], order: list
 def sign_rows(state: DataFrame | None, block: DataFrame, keys: list[str], order: list[str],
               sign: str = "sign") -> DataFrame:
     """K3: collapsing rows for a block: `-1` for each key's current row, `+1` for
-    the block's newest version of it."""
+    the block's newest version of it.  Keys whose current row is newer than the
+    block's (`order`) give no rows, so blocks may arrive late."""
     newest = latest(block, keys, order).withColumn(sign, F.lit(1).cast("int"))
     if state is None:
         return newest
     cur = state.drop(sign) if sign in state.columns else state
+    newest = newest.join(_newer_keys(cur, newest, keys, order), keys, "left_anti")
     old = cur.join(newest.select(*keys), keys, "left_semi").withColumn(sign, F.lit(-1).cast("int"))
     return old.unionByName(newest.select(*old.columns))
 
 
+def _newer_keys(state: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Keys whose row in `state` is newer than their row in `changes`; none if `state` lacks an order column."""
+    versioned = [c for c in order if isinstance(c, str) and c in state.columns]
+    if len(versioned) < len(order):
+        return changes.select(*keys).limit(0)
+    theirs = changes.select(*keys, F.struct(*order).alias("_change"))
+    return state.select(*keys, F.struct(*order).alias("_current")).join(theirs, keys) \
+        .filter("_current > _change").select(*keys)
+
+
 def collapse(df: DataFrame, sign: str = "sign") -> DataFrame:
     """K4: read a collapsing table as state (FINAL): rows whose signs sum above zero."""
     payload = [c for c in df.columns if c != sign]
@@ -60,13 +72,17 @@ def apply_changes(state: DataFrame | None, changes: DataFrame, keys: list[str],
     """K5: fold insert/update/delete events into the current state.
 
     The newest event per key decides (W1): a delete removes the key, anything
-    else replaces the row.  Keys without events keep their state row.
+    else replaces the row.  Keys without events keep their state row, and so do keys
+    whose state is newer than their events (a batch delivered late).  A state without
+    the order columns can't tell, and a key that was deleted has no version left: to
+    order late events after a delete, keep deletes as rows and filter them on read.
     """
     newest = latest(changes, keys, order)
     cols = columns or [c for c in changes.columns if c != op]
-    upserts = newest.filter(~F.col(op).isin(deletes)).select(*cols)
     if state is None:
-        return upserts
+        return newest.filter(~F.col(op).isin(deletes)).select(*cols)
+    newest = newest.join(_newer_keys(state, newest, keys, order), keys, "left_anti")
+    upserts = newest.filter(~F.col(op).isin(deletes)).select(*cols)
     untouched = state.join(newest.select(*keys), keys, "left_anti").select(*cols)
     return untouched.unionByName(upserts)
 

@@ -292,8 +292,8 @@ WITH h AS (
   SELECT strftime(date_trunc('hour', ts), 'run-%Y%m%d%H') AS run_id, count(*) AS rows, max(ts) AS max_ts,
          date_sub('millisecond', min(ts), max(ts)) AS duration_ms
   FROM events GROUP BY 1)
-SELECT run_id, 'events' AS topic, rows, max_ts, CAST(duration_ms // 1000 AS BIGINT) AS dur_s,
-       CASE WHEN duration_ms // 1000 > 0 THEN CAST((rows * 3600) // (duration_ms // 1000) AS BIGINT) END AS rows_per_hour
+SELECT run_id, 'events' AS topic, rows, max_ts, CAST(round(duration_ms / 1000) AS BIGINT) AS dur_s,
+       CASE WHEN round(duration_ms / 1000) > 0 THEN round(rows / CAST(round(duration_ms / 1000) AS BIGINT), 6) END AS rows_per_sec
 FROM h
 """)
 def q_rate_report(spark, sf):

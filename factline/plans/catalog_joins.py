@@ -52,7 +52,7 @@ FROM k WHERE rn = 1
 def q_stage_dedup(spark, sf):
     li = table(spark, sf, "lineitem")
     kept = stage_dedup(li, LI_KEY, LI_VERSION, keep="first")
-    before = li.agg(F.count(F.lit(1)).alias("rows_before"))
+    before = li.agg(F.count(F.lit(1)).alias("rows_before"))   # one row, as the other side of the join
     after = kept.agg(F.count(F.lit(1)).alias("rows_after"),
                      F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("kept_total"),
                      F.min("l_shipdate").alias("first_ship"))
@@ -61,9 +61,10 @@ def q_stage_dedup(spark, sf):
 
 # ------------------------------------------------------------------ dedup_insert (L3)
 @register("dedup_insert", """
-SELECT b.l_orderkey, b.l_linenumber, b.l_shipdate, b.l_partkey, b.l_suppkey
-FROM lineitem b
-WHERE b.l_shipdate >= TIMESTAMP '2000-01-01 00:00:00'
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey) AS rn
+      FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01 00:00:00') b
+WHERE rn = 1
   AND NOT EXISTS (SELECT 1 FROM lineitem f
                   WHERE f.l_shipdate < TIMESTAMP '2000-01-01 00:00:00'
                     AND f.l_orderkey = b.l_orderkey AND f.l_linenumber = b.l_linenumber)
@@ -73,7 +74,7 @@ def q_dedup_insert(spark, sf):
     split = ts_lit(D(2000, 1, 1))
     fact = li.filter(F.col("l_shipdate") < split)
     block = li.filter(F.col("l_shipdate") >= split)
-    return new_rows(block, fact, LI_KEY)
+    return new_rows(block, fact, LI_KEY, order=["l_shipdate", "l_partkey", "l_suppkey"])
 
 
 # ------------------------------------------------------------------ kv_lookup (L1)

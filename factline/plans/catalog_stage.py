@@ -22,7 +22,7 @@ SELECT 'shop' AS database, 'events' AS "table", epoch_us(ts) // 1000 AS env_ts,
 """)
 def q_envelope_roundtrip(spark, sf):
     ev = table(spark, sf, "events")
-    env = to_envelope(ev, "shop", "events", ts="ts", id="event_id")
+    env = to_envelope(ev, "shop", "events", ts="ts", id="event_id", unit="MILLISECOND")
     good, bad = parse_envelope(env, ev.schema)
     return good.select("database", "table", F.col("ts").alias("env_ts"), "xid", "data.*")
 
@@ -232,8 +232,8 @@ def q_cdc_stage(spark, sf):
     op = F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete") \
         .otherwise("update")
     # land change events as JSON envelopes, the way a binlog reader would
-    env = to_envelope(ev.withColumn("_op", op), "shop", "events", ts="ts", id="event_id", op_col="_op")
+    env = to_envelope(ev.withColumn("_op", op), "shop", "events", ts="ts", id="event_id", op_col="_op", unit="MILLISECOND")
     env.write.mode("overwrite").text(f"{root}/landing")
-    stage = read_cdc(spark.read.text(f"{root}/landing"), ev.schema)
+    stage = read_cdc(spark.read.text(f"{root}/landing"), ev.schema, unit="MILLISECOND")
     return apply_changes(None, stage, ["user_id"], ["ts", "event_id"], "_op", ["delete"],
                          ["user_id", "event_type", "ts", "value"])

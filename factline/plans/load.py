@@ -230,9 +230,10 @@ def _run_block(spark, topic, source, transform, target: Target, store: PositionS
         out = latest(out, target.keys, target.order or [])
     if target.dedup == "new" and target.keys:
         fact = read_fact(spark, target.root, exclude_block=block_id)
+        prune = None
         if fact is not None:
             prune = target.prune_range(last, nxt) if target.prune_range else block_partitions(out, target.prune_by)
-            out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound, prune=prune)
+        out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound, prune=prune, order=target.order)
     if target.schema:
         out = conform(out, target.schema)
     metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,

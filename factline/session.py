@@ -60,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
         # Tests and local runs only: a cluster names its shared folder in spark.checkpoint.dir.
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="factline-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -60,44 +60,57 @@ def parse_envelope(df: DataFrame, payload: StructType | str, col: str = "value")
     return good, bad
 
 
-def read_cdc(df: DataFrame, payload: StructType | str, col: str = "value") -> DataFrame:
+def read_cdc(df: DataFrame, payload: StructType | str, col: str = "value", unit: str = "SECOND") -> DataFrame:
     """A landed CDC stream (batch or streaming DataFrame of envelope text) as
-    stage rows: payload columns plus `pos` (event time) and `id` (transaction id)."""
+    stage rows: payload columns plus `pos` (event time) and `id` (transaction id).
+    `unit` is that of the envelope's epoch `ts`; `cdc_rejects` has the other rows."""
     good, _ = parse_envelope(df, payload, col)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return good.select("data.*", F.col("type").alias("_op"),
-                       F.timestamp_add("MILLISECOND", F.col("ts"), epoch).alias("pos"),
+                       F.timestamp_add(unit, F.col("ts"), epoch).alias("pos"),
                        F.col("xid").alias("id"))
 
 
+def cdc_rejects(df: DataFrame, payload: StructType | str, col: str = "value") -> DataFrame:
+    """The landed rows that `read_cdc` can't use (unreadable text, no `data`), as they came."""
+    return parse_envelope(df, payload, col)[1]
+
+
 def to_envelope(df: DataFrame, database: str, table: str, ts: str, id: str | None = None,
-                since=None, op: str = "insert", op_col: str | None = None) -> DataFrame:
+                since=None, op: str = "insert", op_col: str | None = None, unit: str = "SECOND") -> DataFrame:
     """Bootstrap envelopes from an existing table, bounded to rows newer than
-    `since` when given; `ts` (event time) -> epoch milliseconds, `id` -> xid.
+    `since` when given; `ts` (event time) -> epoch in `unit`s, `id` -> xid.
     The operation is `op`, or per row the column `op_col` (kept out of `data`)."""
     src = df if since is None else df.filter(F.col(ts) > ts_lit(since))
-    # epoch milliseconds by NTZ arithmetic: independent of the session time zone
-    millis = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    # epoch by NTZ arithmetic: independent of the session time zone
+    epoch_ts = F.timestamp_diff(unit, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
     kind = F.col(op_col) if op_col else F.lit(op)
     payload = [F.col(c) for c in df.columns if c != op_col]
     env = F.struct(F.lit(database).alias("database"), F.lit(table).alias("table"), kind.alias("type"),
-                   millis.alias("ts"), (F.col(id).cast("bigint") if id else F.lit(0).cast("bigint")).alias("xid"),
+                   epoch_ts.alias("ts"), (F.col(id).cast("bigint") if id else F.lit(0).cast("bigint")).alias("xid"),
                    F.lit(True).alias("commit"), F.struct(*payload).alias("data"))
     return src.select(F.to_json(env, JSON_OPTIONS).alias("value"))
 
 
 # ------------------------------------------------------------------ S5 schema-free stages
 def infer_json_schema(df: DataFrame, col: str) -> str:
-    """Schema merged over every row of a JSON text column (one aggregate), as DDL."""
-    text = df.select(F.expr(f"schema_of_variant_agg(parse_json(`{col}`))").alias("s")).first()["s"]
+    """Schema merged over every readable row of a JSON text column (one aggregate), as DDL."""
+    text = df.select(F.expr(f"schema_of_variant_agg(try_parse_json(`{col}`))").alias("s")).first()["s"]
     if text is None:
         return "STRUCT<>"
     return re.sub(r"\bOBJECT<", "STRUCT<", text)
 
 
+def malformed(df: DataFrame, col: str) -> DataFrame:
+    """The rows whose JSON text can't be read, to be kept beside `infer_stage` of the others."""
+    return df.filter(F.col(col).isNotNull() & F.expr(f"try_parse_json(`{col}`) IS NULL"))
+
+
 def infer_stage(df: DataFrame, col: str, schema: str | None = None) -> DataFrame:
-    """Typed columns from a JSON text column: `from_json` with the merged schema."""
+    """Typed columns from a JSON text column: `from_json` with the merged schema.
+    Malformed rows are left out; `malformed` returns them."""
     ddl = schema or infer_json_schema(df, col)
+    df = df.filter(F.col(col).isNull() | F.expr(f"try_parse_json(`{col}`) IS NOT NULL"))
     return df.withColumn("_j", F.from_json(F.col(col), ddl)).select(*[c for c in df.columns if c != col], "_j.*")
 
 

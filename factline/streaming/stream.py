@@ -9,6 +9,7 @@ delivery.
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,20 +19,27 @@ from ..operators.lookup import latest, new_rows
 from ..plans.load import Target, append_log, block_partitions, conform, read_fact, write_block
 
 
+def stream_block_id(topic: str, stream: str, batch_id: int) -> str:
+    """Folder of a micro-batch: streams and topics that share a destination never share one."""
+    return f"s{hashlib.sha256(f'{topic}|{stream}'.encode()).hexdigest()[:12]}-{batch_id:08d}"
+
+
 def block_writer(spark: SparkSession, topic: str, transform: Callable[[DataFrame], DataFrame], target: Target,
-                 now=None, max_rows: int | None = None):
-    """A `foreachBatch` function running the block body on each micro-batch."""
+                 now=None, max_rows: int | None = None, stream: str = ""):
+    """A `foreachBatch` function running the block body on each micro-batch.
+
+    `stream` names the stream across restarts (its checkpoint folder): a batch that is
+    delivered again overwrites its own folder, and no other stream's."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        block_id = f"s{batch_id:08d}"
+        block_id = stream_block_id(topic, stream, batch_id)
         out = transform(batch)
         if target.dedup == "latest" and target.keys:
             out = latest(out, target.keys, target.order or [])
         if target.dedup == "new" and target.keys:
             fact = read_fact(spark, target.root, exclude_block=block_id)
-            if fact is not None:
-                out = new_rows(out, fact, target.keys, max_block_rows=max_rows,
-                               prune=block_partitions(out, target.prune_by))
+            prune = None if fact is None else block_partitions(out, target.prune_by)
+            out = new_rows(out, fact, target.keys, max_block_rows=max_rows, prune=prune, order=target.order)
         if target.schema:
             out = conform(out, target.schema)
         metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,
@@ -45,7 +53,7 @@ def block_writer(spark: SparkSession, topic: str, transform: Callable[[DataFrame
 def stream_load(spark: SparkSession, source: DataFrame, topic: str, transform, target: Target,
                 checkpoint: str, now=None, available_now: bool = True, max_rows: int | None = None):
     """Drive the block body from a streaming source; returns the finished query."""
-    w = (source.writeStream.foreachBatch(block_writer(spark, topic, transform, target, now, max_rows))
+    w = (source.writeStream.foreachBatch(block_writer(spark, topic, transform, target, now, max_rows, stream=checkpoint))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
@@ -92,14 +100,14 @@ def gated_window_counts(spark: SparkSession, sources: dict, delay: str, window:
               .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window.end").cast("timestamp_ntz").alias("window_end"), "source", "n"))
 
-    def sink(batch, batch_id):
-        batch.write.mode("append").parquet(out_path)
+    def sink(batch, batch_id):   # a folder per batch: a batch delivered again overwrites its own
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     q = (counts.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, source string, n bigint") \
-        .parquet(out_path) if _has_files(spark, out_path) else spark.createDataFrame(
+        .option("recursiveFileLookup", "true").parquet(out_path) if _has_files(spark, out_path) else spark.createDataFrame(
             [], "window_start timestamp_ntz, window_end timestamp_ntz, source string, n bigint")
 
 
