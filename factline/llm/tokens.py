@@ -30,34 +30,44 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_TEXT = 50256
 #: Fixed value: the published pre-token pattern of this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_PIECE = regex.compile(r"\s*\S+|\s+")
+_CUT = regex.compile(r"(?<=\S)(?=\s)")
 _ROUNDS = 4
 _NO_ID = -(2**63)  # stands for a null doc_id in a record
 
 
 class Tokenizer:
-    """Ids of a text as bytes. Pre-tokens never reach over the begin of white space, so pieces cut there are encoded alone and remembered."""
+    """Ids of a text as bytes.
 
-    def __init__(self, path: str, remember: int = 300_000):
+    Pre-tokens never reach over the begin of white space, so long texts are cut there and encoded piece by piece; a text or
+    a run of white space that offers no such place is cut every ``most`` characters, which the ids' decoding doesn't show.
+    """
+
+    def __init__(self, path: str, piece: int = 1 << 18, most: int = 1 << 19):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
-        self.remember = remember
+        self.piece, self.most = piece, most
+
+    def _pieces(self, text: str):
+        at = 0
+        while len(text) - at > self.most:
+            found = _CUT.search(text, at + self.piece, at + self.most)
+            to = found.start() if found else at + self.most
+            yield text[at:to]
+            at = to
+        yield text[at:]
+
+    def ids(self, text: str):
+        """Lists of ids, one per piece."""
+        return map(self.encoding.encode_ordinary, self._pieces(text))
 
-    def _piece(self, piece: str) -> bytes:
-        ids = np.array(self.encoding.encode_ordinary(piece), "<u2").tobytes()
-        if len(piece) <= 64:
-            if len(self.known) >= self.remember:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+    def count(self, text: str) -> int:
+        return sum(map(len, self.ids(text)))
 
     def encode(self, text: str) -> bytes:
-        get, piece = self.known.get, self._piece
-        return b"".join([get(p) or piece(p) for p in _PIECE.findall(text)])
+        return b"".join([np.array(x, "<u2").tobytes() for x in self.ids(text)])
 
     def decode(self, ids) -> str:
         return self.encoding.decode_bytes([int(i) for i in ids]).decode("utf-8")
@@ -109,7 +119,7 @@ def count_tokens(rows: DataFrame, path: str) -> DataFrame:
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
         t = tokenizer(path)
-        return pd.Series([len(t.encode(x or "")) // 2 + 1 for x in texts], dtype="int64")
+        return pd.Series([t.count(x or "") + 1 for x in texts], dtype="int64")
 
     return rows.select("_row", count("text").alias("n"))
 
