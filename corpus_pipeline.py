@@ -31,7 +31,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the training shards and returns a row per sequence in them."""
-    return tokens.training_order(docs).drop("ids")
+    return tokens.training_order(docs, with_ids=False)
 
 
 STAGES = [("language ID", language), ("SimHash near-dedup", near_duplicates), ("benchmark decontamination", decontamination),

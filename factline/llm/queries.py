@@ -47,7 +47,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.training_order(read_documents(spark, sf_dir)).drop("ids")
+    return tokens.training_order(read_documents(spark, sf_dir), with_ids=False)
 
 
 def queries() -> dict:

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -32,9 +34,17 @@ END_OF_TEXT = 50256
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = regex.compile(r"(?<=\S)(?=\s)")
 _ROUNDS = 4
+_KIND = "doc_id long, seq long, slot long, shard long, byte_offset long, n_tokens long, tokens_sha256 string"
 _NO_ID = -(2**63)  # stands for a null doc_id in a record
 
 
+def _two_bytes(ids: list[int]) -> bytes:
+    out = array("H", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Tokenizer:
     """Ids of a text as bytes.
 
@@ -67,7 +77,7 @@ class Tokenizer:
         return sum(map(len, self.ids(text)))
 
     def encode(self, text: str) -> bytes:
-        return b"".join([np.array(x, "<u2").tobytes() for x in self.ids(text)])
+        return b"".join([_two_bytes(x) for x in self.ids(text)])
 
     def decode(self, ids) -> str:
         return self.encoding.decode_bytes([int(i) for i in ids]).decode("utf-8")
@@ -169,8 +179,8 @@ def write_shards(docs: DataFrame, path: str, length: int = 256, per_shard: int =
     return total
 
 
-def read_shards(spark, path: str, length: int = 256, per_shard: int = 1 << 14) -> DataFrame:
-    """One row per record of the shards below ``path``: doc_id, seq, slot, shard, byte_offset, n_tokens, tokens_sha256, ids."""
+def read_shards(spark, path: str, length: int = 256, per_shard: int = 1 << 14, with_ids: bool = True) -> DataFrame:
+    """One row per record of the shards below ``path``: doc_id, seq, slot, shard, byte_offset, n_tokens, tokens_sha256, and ids if asked for."""
     stride = record_stride(length)
 
     def parse(batches):
@@ -180,20 +190,21 @@ def read_shards(spark, path: str, length: int = 256, per_shard: int = 1 << 14) -
                 ids = np.ascontiguousarray(table[:, 12:12 + 2 * length]).view("<u2")
                 used = np.where((ids == END_OF_TEXT).any(axis=1), (ids == END_OF_TEXT).argmax(axis=1) + 1, length)
                 tokens = [x[:n].tobytes() for x, n in zip(ids, used)]
-                yield pd.DataFrame({
+                found = pd.DataFrame({
                     "doc_id": np.ascontiguousarray(table[:, :8]).view("<i8").ravel(), "seq": np.ascontiguousarray(table[:, 8:12]).view("<u4").ravel().astype(np.int64),
                     "slot": shard * per_shard + np.arange(len(table)), "shard": shard, "byte_offset": np.arange(len(table)) * stride,
-                    "n_tokens": used.astype(np.int64), "tokens_sha256": [hashlib.sha256(t).hexdigest() for t in tokens], "ids": tokens})
+                    "n_tokens": used.astype(np.int64), "tokens_sha256": [hashlib.sha256(t).hexdigest() for t in tokens]})
+                yield found.assign(ids=tokens) if with_ids else found
 
-    kind = "doc_id long, seq long, slot long, shard long, byte_offset long, n_tokens long, tokens_sha256 string, ids binary"
+    kind = _KIND + ", ids binary" * with_ids
     files = spark.read.format("binaryFile").load(f"{path}/shard=*").select(
         F.regexp_extract("path", "shard=([0-9]+)", 1).cast("long").alias("shard"), "content")
     return files.mapInPandas(parse, kind).withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
 def training_order(docs: DataFrame, path: str | None = None, length: int = 256, per_shard: int = 1 << 14, key: int = 1,
-                   tokenizer_path: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the shards below ``path`` (a fresh shared folder by default) and returns what they hold, a row per sequence.
+                   tokenizer_path: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """Writes the shards below ``path`` (a fresh shared folder by default) and returns what they hold, a row per sequence; its ids too if ``with_ids``.
 
     A null or empty text is one sequence of END_OF_TEXT only. Repeated rows are sequences of their own; a null doc_id
     stays null. Other columns of ``docs`` are not read. An empty table writes nothing and gives an empty result.
@@ -203,5 +214,5 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = 256,
     spark = docs.sparkSession
     path = path or work_dir(spark, "training-order")
     if not write_shards(docs, path, length, per_shard, key, tokenizer_path, id_col, text_col):
-        return spark.createDataFrame([], "doc_id long, seq long, slot long, shard long, byte_offset long, n_tokens long, tokens_sha256 string, ids binary")
-    return read_shards(spark, path, length, per_shard)
+        return spark.createDataFrame([], _KIND + ", ids binary" * with_ids)
+    return read_shards(spark, path, length, per_shard, with_ids)
