@@ -194,6 +194,24 @@ def test_suffix_dedup_on_edges(spark, monkeypatch):
     assert collected(suffix.suffix_dedup(t, block_bytes=700, min_buckets=2).drop("spans")) == brute_suffix(data, 50)
 
 
+def test_lm_shared_beginnings_change_nothing():
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 100, rng.integers(0, 7)).astype(np.uint8)) for _ in range(500)] + [b"a" * 70_000, b"a" * 70_000, b""]
+    words += sorted(words)
+    classes = rng.integers(0, 3, len(words))
+    code = lm.Code(np.bincount(np.frombuffer(b" ".join(words), np.uint8), minlength=256))
+    for k in (None, classes):
+        plain, shared = lm.Bits(words, code), lm.Bits(words, code, share=True, classes=k)
+        assert shared.n < plain.n
+        for i in range(len(lm.PREDICTORS)):
+            # the slot of a byte's first bit is that of the byte which stands for it
+            first = np.zeros((2, plain.n_bytes), np.int64)
+            for row, b in zip(first, (plain, shared)):
+                slots = b.slots(i, 20, classes if k is not None else 0)
+                row[b.byte[::-1]] = slots[::-1]
+            np.testing.assert_array_equal(first[0], first[1][shared.node])
+
+
 def test_mixing(docs):
     got = mixing.mix(docs, chunk=4).collect()
     assert sorted((r.doc_id, r.taken) for r in got if r.doc_id is not None) == sorted((r.doc_id, r.taken) for r in mixing.mix(docs, chunk=4).collect() if r.doc_id is not None)
