@@ -129,29 +129,19 @@ def _forest(x: np.ndarray, y: np.ndarray, max_distance: int) -> tuple[np.ndarray
     ax, ay = at[:len(x)], at[len(x):]
     label = np.arange(len(nodes))
     step = max(1, (1 << 20) // max(1, len(y)))
-    links = []
     for i in range(0, len(x), step):
         near = np.bitwise_count(x[i:i + step, None].view(np.uint64) ^ y[None, :].view(np.uint64)) <= max_distance
         a, b = np.nonzero(near)
         a, b = ax[i:i + step][a], ay[b]
-        other = a != b
-        a, b = a[other], b[other]
-        if not len(a):
-            continue
-        links.append((a, b))
-        while True:  # the smallest label spreads along the links of this slice
-            low = np.minimum(label[a], label[b])
-            new = label.copy()
-            np.minimum.at(new, a, low)
-            np.minimum.at(new, b, low)
-            np.minimum.at(new, label[a], low)
-            np.minimum.at(new, label[b], low)
-            new = new[new]
-            if (new == label).all():
+        while True:  # only roots are hung on smaller roots, so what earlier slices have joined moves as a whole
+            ra, rb = label[a], label[b]
+            apart = ra != rb
+            if not apart.any():
                 break
-            label = new
-    while (label[label] != label).any():
-        label = label[label]
+            a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+            np.minimum.at(label, np.maximum(ra, rb), np.minimum(ra, rb))
+            while (label[label] != label).any():
+                label = label[label]
     moved = label != np.arange(len(nodes))
     return nodes[moved], nodes[label[moved]]
 

@@ -352,6 +352,34 @@ def test_simhash_finds_all_links(spark):
     assert classes(lambda x: roots.get(x, x)) == classes(find)
 
 
+def test_forest_keeps_what_earlier_slices_joined():
+    far, top = np.int64(0x0F0F0F0F0F0F0F), np.int64(1) << 61
+    five, three, two = top, np.int64(0xF << 44), np.int64(0xF << 48)
+    ten, eleven = three | top, two | top
+    # two rows of x to a slice: five joins ten and eleven, then each of them gets its own smaller root
+    x = np.array([five, five, three, two])
+    y = np.concatenate([[ten, eleven], np.full((1 << 19) - 2, far)])
+    a, b = simhash._forest(x, y, 4)
+    assert set(a.tolist()) == {int(v) for v in (three, five, ten, eleven, two)} - set(b.tolist()) and len(set(b.tolist())) == 1
+    # more than 2^20 pairs of dense families, in many slices
+    rng = np.random.default_rng(4)
+    base = rng.integers(-2**63, 2**63 - 1, 60)
+    x, y = (base[rng.integers(0, 60, 1500)] ^ np.bitwise_or.reduce(np.int64(1) << rng.integers(0, 62, (1500, 4)), axis=1) for _ in range(2))
+    a, b = simhash._forest(x, y, 4)
+    parent = {v: v for v in np.concatenate([x, y]).tolist()}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+    for u in x.tolist():
+        for v in y[np.bitwise_count(y ^ np.int64(u)) <= 4].tolist():
+            parent[find(u)] = find(v)
+    roots = dict(zip(a.tolist(), b.tolist()))
+    classes = lambda f: {frozenset(v for v in parent if f(v) == r) for r in map(f, parent)}
+    assert classes(lambda v: roots.get(v, v)) == classes(find)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 120)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
