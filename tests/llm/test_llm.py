@@ -155,6 +155,28 @@ def test_decontamination(spark, docs):
     assert decontam.clean_documents(docs, bench).columns == docs.columns
 
 
+def found_items(spark, items, texts):
+    t = cut(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "test-decontam")
+    got = decontam.decontaminate(t, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return [list(r.item_ids) for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_decontamination_names_in_any_place_and_case(spark):
+    item = "Alice has 5 apples. Bob gives her 3 more apples. How many apples does Alice have?"
+    market = "Tom bought 12 apples and 5 kg of fresh pears for his 3 sisters at the old market in Berlin where Eve O'Neil met Ann"
+    other = "Carol has 9 apples. Dave gives her 4 more apples. How many apples does Carol have?"
+    texts = [other, "so " + other.lower(), other.upper(), item.lower(), item.upper(), market.lower(), market.upper(), market.replace(" ", "\r\n"),
+             market.replace(" ", "  "), market.replace("Berlin", "Rome").replace("O'Neil", "Smith"),
+             other.replace("does Carol", "does Dave")]  # Alice can't be Carol and Dave at once
+    assert found_items(spark, [(1, item), (2, market)], texts) == [[1]] * 5 + [[2]] * 5 + [[]]
+
+
+def test_decontamination_dense_names(spark):
+    item = "The friends Tom, Ann and Bob met Carl, Dora and Eve before Fred told Gina and Hal about Ida"
+    other = "The friends Max, Sue and Jim met Kurt, Lena and Mia before Nils told Olga and Paul about Rita"
+    assert found_items(spark, [(1, item)], [item, item.lower(), other, other.replace("told", "saw").replace("met", "left")])[:3] == [[1]] * 3
+
+
 def brute_suffix(data, length):
     out = []
     first = {}
