@@ -177,6 +177,15 @@ def test_decontamination_dense_names(spark):
     assert found_items(spark, [(1, item)], [item, item.lower(), other, other.replace("told", "saw").replace("met", "left")])[:3] == [[1]] * 3
 
 
+def test_decontamination_short_items(spark):
+    items = [(1, "What is the capital city of France?"), (2, "12 + 7 * 31 - 45 / 2 + 8 - 64"), (3, "Where do wild bears sleep in the cold winter months?"),
+             (4, "name two noble gases"), (5, "The farmer drove along the river until the tank held 5")]
+    texts = ["Question: What is the capital city of France? Answer: Paris", "so what is the capital city of France", "compute 12 + 7 * 31 - 45 / 2 + 8 - 64 now",
+             "compute 13 + 9 * 31 - 45 / 3 + 8 - 65 now", "Question: Where do wild bears sleep in the cold winter months?", "\nName two noble gases.",
+             "name two noble men", "then the farmer drove along the river until the tank held 5 l of it", "What is the largest city of France?"]
+    assert found_items(spark, items, texts) == [[1], [1], [2], [], [3], [4], [], [5], []]
+
+
 def brute_suffix(data, length):
     out = []
     first = {}
