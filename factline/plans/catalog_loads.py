@@ -172,9 +172,12 @@ def q_watermark_gate(spark, sf):
     sources = {}
     for t in ("view", "error"):
         feed = ev.filter(F.col("event_type") == t).select("ts", "event_id")
-        # land each feed week by week, in time order (file streams read by modification time)
-        for w in range(6):
-            lo, hi = D(2024, 1, 1) + _dt.timedelta(days=7 * w), D(2024, 1, 1) + _dt.timedelta(days=7 * w + 7)
+        # land each feed week by week, in time order (file streams read by modification time); only weeks that have rows
+        week = F.date_trunc("week", "ts").cast("timestamp_ntz")
+        weeks = [r["w"] for r in feed.filter("ts is not null").select(week.alias("w")).distinct().orderBy("w").collect()]
+        feed.limit(0).write.mode("append").parquet(f"{root}/{t}")
+        for lo in weeks:
+            hi = lo + _dt.timedelta(days=7)
             feed.filter((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < ts_lit(hi))).sortWithinPartitions("ts") \
                 .write.mode("append").parquet(f"{root}/{t}")
         sources[t] = (file_stream(spark, f"{root}/{t}", feed.schema, max_files=2), "ts")

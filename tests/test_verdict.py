@@ -11,6 +11,7 @@ from factline.operators.merge import idem_sum
 from factline.operators.positions import Position, next_block
 from factline.operators.upsert import apply_changes, sign_rows
 from factline.sources.stage import cdc_rejects, infer_stage, malformed, read_cdc, to_envelope
+from factline.plans.catalog_loads import q_watermark_gate
 from factline.streaming.stream import stream_block_id
 
 D = dt.datetime
@@ -83,3 +84,17 @@ def test_block_of_hashed_ids_at_one_position(spark):
 
 def test_streams_do_not_share_block_folders():
     assert len({stream_block_id(t, s, 1) for t in "ab" for s in ("c1", "c2")}) == 4
+
+
+def test_watermark_gate_reads_all_weeks(spark, tmp):
+    stamps = [D(2023, 12, 1, 5) + dt.timedelta(hours=31 * i) for i in range(70)]  # to the end of February, and a gap of weeks
+    stamps += [D(2024, 5, 1, 7), D(2024, 5, 2, 7)]
+    ev = [(i, t, k) for i, t in enumerate(stamps) for k in ("view", "error", "click")]
+    spark.createDataFrame(ev, "event_id bigint, ts timestamp_ntz, event_type string").coalesce(1).write.parquet(f"{tmp}/events.parquet")
+    want = {}
+    for t in stamps:
+        day = D(t.year, t.month, t.day)
+        if day + dt.timedelta(days=1) <= max(stamps) - dt.timedelta(hours=1):
+            for k in ("view", "error"):
+                want[day, k] = want.get((day, k), 0) + 1
+    assert {(r.window_start, r.source): r.n for r in q_watermark_gate(spark, tmp).collect()} == want
