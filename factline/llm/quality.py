@@ -1,8 +1,7 @@
 """Quality classifier by importance resampling (Xie et al. 2023).
 
 Two generative models over hashed word n-grams, one of the target text (labelled as good) and one of the raw text (all
-documents), give each document a log importance weight: the mean log ratio of its n-grams, times the number of n-grams
-that a document stands for. Gumbel noise is added, and the top k documents are a sample without replacement by these
+documents), give each document a log importance weight: the sum of the log ratios of its n-grams. Gumbel noise is added, and the top k documents are a sample without replacement by these
 weights.
 """
 
@@ -96,7 +95,7 @@ def kth_largest(keys: DataFrame, k: int, buckets: int = 1024, few: int = 4096) -
     return found[0], -found[1]
 
 
-def importance(docs: DataFrame, labels: DataFrame, bits: int = 16, stands_for: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def importance(docs: DataFrame, labels: DataFrame, bits: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, doc_id, log_weight) of every row of ``docs``; the target are those whose doc_id has a label of quality 1.
 
     A text without words has log weight 0 (it says nothing), and so has every text if no target has words. A
@@ -119,19 +118,19 @@ def importance(docs: DataFrame, labels: DataFrame, bits: int = 16, stands_for: i
         out = []
         for t in texts:
             slots = gram_slots(t, cache, bits)
-            out.append(float(table[slots].mean(dtype=np.float64)) * stands_for if len(slots) else 0.0)
+            out.append(float(table[slots].sum(dtype=np.float64)))
         return pd.Series(out, dtype="float64")
 
     return rows.select("_row", "doc_id", weigh("text").alias("log_weight"))
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float = 0.8, seed: int = 1, bits: int = 16, stands_for: int = 100,
+def resample(docs: DataFrame, labels: DataFrame, share: float = 0.8, seed: int = 1, bits: int = 16,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: _row, doc_id, log_weight, gumbel_key, kept. ``share`` of the rows, rounded down, are kept.
 
     Repeated rows draw noise of their own. Other columns are not read. An empty table gives an empty result.
     """
-    weights = importance(docs, labels, bits, stands_for, id_col, text_col)
+    weights = importance(docs, labels, bits, id_col, text_col)
     u = (F.pmod(F.xxhash64("doc_id", "_row", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     keyed = cut(weights.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))), "quality-keys")
     split = kth_largest(keyed.select("_row", F.col("gumbel_key").alias("key")), int(keyed.count() * share))

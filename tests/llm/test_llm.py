@@ -284,6 +284,15 @@ def test_quality(docs, spark):
     assert quality.kth_largest(keys, 1001) is None
 
 
+def test_quality_weight_is_a_sum(spark):
+    texts = ["fine", "fine words", "poor stuff", "fine words " * 500]
+    t = cut(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "test-quality")
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    got = {r.doc_id: r.log_weight for r in quality.importance(t, labels).collect()}
+    # fine, words, "fine words": 500 of each; "words fine" 499 times, as the target lacks it, about 0 and no more
+    assert abs(got[3]) > 100 * abs(got[1]) > 0 and got[3] * got[1] > 0
+
+
 def test_quality_tells_junk(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
