@@ -42,3 +42,7 @@ def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Data
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")

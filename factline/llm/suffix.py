@@ -30,9 +30,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions, with_row_id
+from ..session import work_dir
+from .common import cut, drop_table, shuffle_partitions, with_row_id
 
-_NO_ID = 2**63 - 1  # stands for a null doc_id: the largest
+NO_ID = 2**63 - 1  # stands for a null doc_id: the largest
 _SLICE = 1 << 20
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -329,7 +330,7 @@ ROUNDS = (
 
 def write_blocks(docs: DataFrame, block_bytes: int, partitions: int, id_col: str, text_col: str) -> str:
     """Writes a table of blocks of about ``block_bytes`` (or one document), bucketed by block; returns its name."""
-    doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
+    doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     rows = with_row_id(docs.select(doc_id.alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
 
     def pack(batches):
@@ -339,7 +340,7 @@ def write_blocks(docs: DataFrame, block_bytes: int, partitions: int, id_col: str
             held.sort(key=lambda x: x[0])
             return pd.DataFrame({
                 "block": [(part << 24) + k], "row": [np.array([x[1] for x in held], np.int64).tobytes()], "ids": [np.array([x[0] for x in held], np.int64).tobytes()],
-                "lengths": [np.array([len(x[2]) for x in held], np.int64).tobytes()], "data": [zstandard.ZstdCompressor(level=3).compress(b"".join(x[2] for x in held))]})
+                "lengths": [np.array([len(x[2]) for x in held], np.int64).tobytes()], "n_bytes": [n], "data": [zstandard.ZstdCompressor(level=3).compress(b"".join(x[2] for x in held))]})
 
         part = 0
         for pdf in batches:
@@ -354,8 +355,9 @@ def write_blocks(docs: DataFrame, block_bytes: int, partitions: int, id_col: str
             yield block()
 
     table = "suffix_blocks_" + uuid.uuid4().hex[:12]
-    blocks = rows.mapInPandas(pack, "block long, row binary, ids binary, lengths binary, data binary")
-    blocks.repartition(partitions, "block").write.bucketBy(partitions, "block").sortBy("block").option("compression", "uncompressed").saveAsTable(table)
+    blocks = rows.mapInPandas(pack, "block long, row binary, ids binary, lengths binary, n_bytes long, data binary")
+    blocks.repartition(partitions, "block").write.bucketBy(partitions, "block").sortBy("block").option("compression", "uncompressed").option(
+        "path", work_dir(docs.sparkSession, "suffix-blocks")).saveAsTable(table)
     return table
 
 
@@ -369,9 +371,15 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, block_bytes:
     are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>"
     table = write_blocks(docs, block_bytes, partitions or shuffle_partitions(spark), id_col, text_col)
-    blocks = spark.table(table)
+    try:
+        result = _dedup(spark.table(table), length, gram, blocks_per_bucket, min_buckets)
+    finally:
+        drop_table(spark, table)
+    return result.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
+def _dedup(blocks: DataFrame, length: int, gram: int, blocks_per_bucket: int, min_buckets: int) -> DataFrame:
     buckets = max(min_buckets, blocks.count() // blocks_per_bucket)
     answers = None
 
@@ -412,6 +420,5 @@ def suffix_dedup(docs: DataFrame, length: int = 50, gram: int = 24, block_bytes:
                             [{"begin": int(x), "end": int(y)} for x, y in zip(flips[::2], flips[1::2])]))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    result = cut(joined().mapInPandas(finish, schema), "suffix-result")
-    spark.sql(f"DROP TABLE {table}")
-    return result.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>"
+    return cut(joined().mapInPandas(finish, schema), "suffix-result")
