@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, with_row_id
+from .common import content_key, cut, drawn_key, with_row_id
 
 
 class _Words(dict):
@@ -95,15 +95,18 @@ def kth_largest(keys: DataFrame, k: int, buckets: int = 1024, few: int = 4096) -
     return found[0], -found[1]
 
 
-def importance(docs: DataFrame, labels: DataFrame, bits: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_row, doc_id, log_weight) of every row of ``docs``; the target are those whose doc_id has a label of quality 1.
+def importance(docs: DataFrame, labels: DataFrame, bits: int = 16, max_labels: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_row, doc_id, log_weight, _key) of every row of ``docs``; the target are those whose doc_id has a label of quality 1.
 
     A text without words has log weight 0 (it says nothing), and so has every text if no target has words. A
-    doc_id with several labels is a target if one of them is 1; a null doc_id has no label.
+    doc_id with several labels is a target if one of them is 1; a null doc_id has no label. The target model is fitted on at most
+    ``max_labels`` such doc_ids, the first by a hash: so many fit a broadcast, and no text is shuffled to meet its label. The raw
+    model counts all texts.
     """
-    good = labels.filter("quality = 1").select(F.col(id_col).alias("doc_id")).distinct().withColumn("target", F.lit(True))
+    good = labels.filter("quality = 1").select(F.col(id_col).alias("doc_id")).filter("doc_id is not null").distinct()
+    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).withColumn("target", F.lit(True))
     rows = with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    marked = rows.join(good, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    marked = rows.join(F.broadcast(good), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     target, raw = gram_counts(marked, bits)
     ratio = np.zeros(1 << bits)
     if target.sum():
@@ -121,18 +124,18 @@ def importance(docs: DataFrame, labels: DataFrame, bits: int = 16, id_col: str =
             out.append(float(table[slots].sum(dtype=np.float64)))
         return pd.Series(out, dtype="float64")
 
-    return rows.select("_row", "doc_id", weigh("text").alias("log_weight"))
+    return rows.select("_row", "doc_id", weigh("text").alias("log_weight"), content_key(F.col("doc_id"), F.col("text")).alias("_key"))
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float = 0.8, seed: int = 1, bits: int = 16,
+def resample(docs: DataFrame, labels: DataFrame, share: float = 0.8, seed: int = 1, bits: int = 16, max_labels: int = 50_000,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: _row, doc_id, log_weight, gumbel_key, kept. ``share`` of the rows, rounded down, are kept.
 
-    Repeated rows draw noise of their own. Other columns are not read. An empty table gives an empty result.
+    Repeated rows draw noise of their own; draws depend on doc_id and text, not on how the table is split. Very long texts count whole. Other columns are not read. An empty table gives an empty result.
     """
-    weights = importance(docs, labels, bits, id_col, text_col)
-    u = (F.pmod(F.xxhash64("doc_id", "_row", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-    keyed = cut(weights.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))), "quality-keys")
+    weights = drawn_key(cut(importance(docs, labels, bits, max_labels, id_col, text_col), "quality-weights"))
+    u = (F.pmod(F.xxhash64("_draw", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    keyed = cut(weights.select("_row", "doc_id", "log_weight", (F.col("log_weight") - F.log(-F.log(u))).alias("gumbel_key")), "quality-keys")
     split = kth_largest(keyed.select("_row", F.col("gumbel_key").alias("key")), int(keyed.count() * share))
     if split is None:
         return keyed.withColumn("kept", F.lit(False))
