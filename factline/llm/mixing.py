@@ -7,7 +7,7 @@ source's sum of words. The document still between goes on to the next pair.
 
 The pairing is a tree: the documents of a chunk are folded one after the other, and each chunk hands at most one
 undecided document to the next round, where these are dealt to chunks again, until one per source is left; it is
-rounded by a last draw. Draws are hashes of the documents' ids, so that reruns agree.
+rounded by a last draw. Draws are hashes of the documents' ids and contents, so that reruns agree however the table is split.
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, whole_rows, with_row_id
+from .common import SPACES, content_key, cut, drawn_key, whole_rows, with_row_id
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (5, 2, 1)
-_UNIT = "struct<row:bigint,id:bigint,size:bigint,f:double>"
+_UNIT = "struct<id:bigint,size:bigint,f:double,row:bigint>"
 _EPS = 1e-9
 
 
@@ -61,11 +61,11 @@ def _pair(held: Column, unit: Column, seed: Column) -> Column:
     total = a["f"] * a["size"] + b["f"] * b["size"]
     to_a = F.least((1 - a["f"]) * a["size"], b["f"] * b["size"])  # words that can move from b to a
     to_b = F.least(a["f"] * a["size"], (1 - b["f"]) * b["size"])
-    up = _draw(a["row"], a["id"], b["row"], b["id"], seed) * (to_a + to_b) < to_b
+    up = _draw(a["id"], b["id"], seed) * (to_a + to_b) < to_b
     words_a = F.when(up, a["f"] * a["size"] + to_a).otherwise(a["f"] * a["size"] - to_b)
     fa, fb = words_a / a["size"], (total - words_a) / b["size"]
     clean = lambda f: F.when(f < _EPS, 0.0).when(f > 1 - _EPS, 1.0).otherwise(f)
-    new = lambda u, f: F.struct(u["row"].alias("row"), u["id"].alias("id"), u["size"].alias("size"), clean(f).alias("f"))
+    new = lambda u, f: F.struct(u["id"].alias("id"), u["size"].alias("size"), clean(f).alias("f"), u["row"].alias("row"))
     return F.array(new(a, fa), new(b, fb))
 
 
@@ -88,6 +88,8 @@ def _fold(units: Column, seed: Column) -> Column:
 def round_copies(units: DataFrame, chunk: int = 256, seed: int = 1) -> DataFrame:
     """(row, copy) with copy 0 or 1 from units (source, row, id, size, f), 0 <= f <= 1, size > 0 where 0 < f < 1.
 
+    Draws and order depend on the ids alone, not on the rows' places.
+
     A chunk holds about ``chunk`` units, whatever the source's share of all rows.
     """
     whole = (F.col("f") <= _EPS) | (F.col("f") >= 1 - _EPS)
@@ -96,12 +98,12 @@ def round_copies(units: DataFrame, chunk: int = 256, seed: int = 1) -> DataFrame
     while True:
         per_source = left.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
         if per_source.filter("n > 1").isEmpty():
-            last = _draw(F.col("row"), F.col("id"), F.lit(seed), F.lit(-1)) < F.col("f")
+            last = _draw(F.col("id"), F.lit(seed), F.lit(-1)) < F.col("f")
             return decided.unionByName(left.select("row", last.cast("int").alias("copy")))
         chunks = F.ceil(F.col("n") / chunk)
         dealt = left.join(per_source.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).withColumn(
-            "chunk", F.pmod(F.xxhash64("id", "row", F.lit(seed + level)), chunks))
-        unit = F.struct("row", "id", "size", "f")
+            "chunk", F.pmod(F.xxhash64("id", F.lit(seed + level)), chunks))
+        unit = F.struct("id", "size", "f", "row")
         folded = dealt.groupBy("source", "chunk").agg(F.array_sort(F.collect_list(unit)).alias("units")).withColumn(
             "r", _fold(F.col("units"), F.lit(seed * 1000 + level)))
         folded = cut(folded.select("source", "r"), "mix-level")
@@ -115,22 +117,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
 
     A null text has size 0; documents without words are never taken. A null source is a source of its own, the last. Null
     and repeated doc_ids are rows like others. A source's taken words miss its target by less than one document's
-    size. Other columns of ``docs`` are not read. An empty table gives an empty result. ``docs`` must be a stored table.
+    size. Rows that are equal in doc_id, source and text are drawn for one by one. Very long texts are counted whole. Other columns of ``docs`` are not read. An empty table gives an empty result. ``docs`` must be a stored table.
     """
-    sized = cut(with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("_text")))
-                .select("_row", "doc_id", "source", word_count(F.col("_text")).alias("size")), "mix-sizes")
+    sized = with_row_id(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("_text")))
+    sized = cut(sized.select("_row", "doc_id", "source", word_count(F.col("_text")).alias("size"),
+                             content_key(F.col("doc_id"), F.col("source"), F.col("_text")).alias("_key")), "mix-sizes")
+    sized = cut(drawn_key(sized, "id"), "mix-keys")
     targets = cut(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "mix-targets")
     rows = sized.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     ratio = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("ratio", F.least(ratio, F.lit(cap))).withColumn("base", F.floor("ratio").cast("int"))
-    units = rows.select("source", F.col("_row").alias("row"), F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("id"), "size", (F.col("ratio") - F.col("base")).alias("f"))
+    units = rows.select("source", F.col("_row").alias("row"), "id", "size", (F.col("ratio") - F.col("base")).alias("f"))
     copies = round_copies(units, chunk, seed).withColumnRenamed("row", "_row")
     out = rows.join(copies, "_row").withColumn("copies", F.col("base") + F.col("copy"))
     return out.select("_row", "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it has copies."""
+    """The mix itself: the rows of ``docs``, each as often as it has copies. Null ids and sources, empty texts, repeated rows and empty tables as in :func:`mix`; columns may have any names besides those that it reads."""
     taken = mix(docs, **options).filter("copies > 0").select("_row", "copies")
     both = whole_rows(docs).join(taken, "_row")
     return both.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")
