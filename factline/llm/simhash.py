@@ -204,7 +204,7 @@ def _compare_cells(pdf: pd.DataFrame, starts: np.ndarray, max_distance: int) ->
 
 def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = 4, chunk: int = 4096, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: _row, doc_id, fp, component_id (the smallest doc_id reachable by links).
+    """One row per row of ``docs``: _row, doc_id, fp, root (least fingerprint of the component), component_id (the smallest doc_id reachable by links).
 
     Words are split at white space, A-Z lower-cased; a text of fewer words than ``shingle`` has one shingle, one
     without words (null, empty) the fingerprint zero, which is linked like any other. Repeated rows share a component.
@@ -218,8 +218,8 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
     labels = components(cut(links(distinct, max_distance, chunk), "simhash-links"))  # (node, root), only linked ones
     rooted = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     least = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", F.col("first.id").alias("component_id"))
-    return keyed.join(named, "fp").select("_row", "doc_id", "fp", "component_id")
+    named = rooted.select("fp", "root").join(least, "root").select("fp", "root", F.col("first.id").alias("component_id"))
+    return keyed.join(named, "fp").select("_row", "doc_id", "fp", "root", "component_id")
 
 
 def hex_fingerprint(fp) -> F.Column:
@@ -227,7 +227,11 @@ def hex_fingerprint(fp) -> F.Column:
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component the row with its smallest doc_id, of repeats the first."""
+    """The rows of ``docs`` that stay: of every component the row with its smallest doc_id, of repeats the first.
+
+    Components are those of the fingerprints, so that documents without or with repeated doc_ids stay apart if their texts do; a null
+    doc_id counts as the largest. Texts without words form one component. All columns are kept, whatever their names; an empty table stays empty.
+    """
     found = simhash_components(docs, shingle, max_distance)
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row")).alias("first"))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row")).alias("first"))
     return whole_rows(docs).join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").select("_doc.*")
