@@ -96,10 +96,11 @@ def exact_dedup(docs: DataFrame, block_size: int = 4096, hash_bits: int = 64, id
 
 
 def _keep_one(facts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Groups are aggregated before any shuffle of rows; a hot group is then split by the skew join."""
+    """Groups are aggregated before any shuffle of rows and written, so that the join reads both sides from a shuffle and splits a hot group."""
     facts = cut(facts.join(ids, "_row"), "exact-facts")
     first = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("null"), "doc_id", "_row")
     groups = facts.groupBy("level", "name").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size"))
     groups = groups.select("level", "name", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first._row").alias("_keep"))
+    groups = cut(groups, "exact-groups")
     return facts.join(groups, ["level", "name"]).select(
         "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"), "text_sha256")
