@@ -159,6 +159,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_wor
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates."""
+    """The rows of ``docs`` that no benchmark item contaminates. Null and empty texts and repeated rows are judged as in :func:`decontaminate`; all columns are kept, whatever their names; an empty table stays empty."""
     bad = decontaminate(docs, benchmark).filter("contaminated").select("_row")
     return whole_rows(docs).join(bad, "_row", "left_anti").select("_doc.*")

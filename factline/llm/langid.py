@@ -190,11 +190,16 @@ def identify(docs: DataFrame, divisor: int = 4, remainders=(2,), bits: int = 16,
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([one(t, sent.value) for t in texts], columns=["lang_pred", "score", "langs", "proportions"])
 
-    out = docs.withColumn("held_out", apart).withColumn("_p", predict(F.col(text_col)))
-    return out.withColumns({c: F.col(f"_p.{c}") for c in ("lang_pred", "score", "langs", "proportions")}).drop("_p")
+    new = ("held_out", "lang_pred", "score", "langs", "proportions")
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new] or [F.lit(None).alias("_none")])
+    out = docs.select(rest.alias("rest"), apart.alias("held_out"), predict(F.col(text_col)).alias("found"))
+    return out.select(*[F.col(f"rest.`{c}`") for c in docs.columns if c not in new], "held_out", *[F.col(f"found.{c}") for c in new[1:]])
 
 
 def known_language(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language that holds at least ``min_score`` of their words; 'und' goes."""
+    """The rows of ``docs`` with a language that holds at least ``min_score`` of their words; 'und' goes, and so do null, empty and letterless texts.
+
+    Repeated rows are judged alike; a null doc_id or lang changes nothing but what is learned. All columns are kept, whatever their names; an empty table stays empty.
+    """
     found = identify(whole_rows(docs).select("_doc", "_doc.doc_id", "_doc.text", "_doc.lang"))
     return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("_doc.*")

@@ -358,7 +358,37 @@ def test_simhash(docs):
     want = sorted(((r[0], f"{prints[i]:016x}", None if least[find(i)][0] else least[find(i)][1]) for i, r in enumerate(data)), key=repr)
     got = simhash.simhash_components(docs, chunk=3)
     assert collected(got.select("doc_id", simhash.hex_fingerprint(F.col("fp")), "component_id")) == want
-    assert simhash.simhash_dedup(docs).count() == len({w[2] for w in want})
+    assert simhash.simhash_dedup(docs).count() == len({r.root for r in got.select("root").distinct().collect()})
+
+
+def test_simhash_dedup_keeps_distinct_texts_of_null_and_repeated_ids(spark, tmp):
+    data = [(i, " ".join(f"{c}{k}" for k in range(40))) for i, c in [(None, "a"), (None, "b"), (None, "c"), (5, "d"), (5, "e"), (6, "f"), (7, "f"), (None, "f")]]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(tmp + "/d")
+    kept = simhash.simhash_dedup(spark.read.parquet(tmp + "/d")).collect()
+    assert sorted((r.text[0], r.doc_id or 0) for r in kept) == [("a", 0), ("b", 0), ("c", 0), ("d", 5), ("e", 5), ("f", 6)]
+
+
+def test_draws_do_not_depend_on_the_split(spark, docs, tmp):
+    labels = spark.createDataFrame([(i * 3, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    for n in (1, 7):
+        docs.repartition(n, F.rand(n)).write.parquet(f"{tmp}/{n}")
+    one, many = (spark.read.parquet(f"{tmp}/{n}") for n in (1, 7))
+    mix = lambda d: collected(mixing.mix(d, chunk=4).select("doc_id", "source", "size", "taken"))
+    assert mix(one) == mix(many)
+    kept = lambda d: collected(quality.resample(d, labels, share=0.5).select("doc_id", F.round("log_weight", 6), "kept"))
+    assert kept(one) == kept(many)
+
+
+def test_language_id_keeps_clashing_columns(spark, docs):
+    clash = docs.withColumn("_p", F.lit(1)).withColumn("score", F.lit("x")).withColumn("rest", F.lit(2)).withColumn("found", F.lit(3)).withColumn("a.b", F.lit(4))
+    got = langid.identify(clash)
+    assert {"_p", "rest", "found", "a.b"} <= set(got.columns) and got.select("`a.b`", "_p", "found").distinct().collect() == [(4, 1, 3)]
+
+
+def test_quality_fits_on_bounded_labels(spark, docs):
+    labels = spark.createDataFrame([(i * 3, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    few = quality.importance(docs, labels, max_labels=2).collect()
+    assert len(few) == len(rows()) and {r.log_weight for r in few} != {r.log_weight for r in quality.importance(docs, labels).collect()}
 
 
 def test_golay_cover():
