@@ -9,6 +9,7 @@ from .operators.lookup import build_fact, dim_lookup, kv_join, latest, new_rows
 from .operators.positions import (Block, Position, block_filter, kth_position, next_block,  # noqa: F401
                                   next_block_uniq, plan_blocks, rank_rows)
 from .plans.load import (LoadResult, PositionStore, Target, compact_blocks, drain, drain_planned,  # noqa: F401
+                         drain_ranges,
                          load_incremental, load_range, load_reload, load_step, read_fact, read_published,
                          sql_transform)
 from .session import get_session, work_dir  # noqa: F401

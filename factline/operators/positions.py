@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.exprs import as_col, position, ts_lit
 
@@ -101,6 +100,20 @@ def pending(df: DataFrame, last: Position | None, gate, pos: str = "pos", id: st
     return df.filter(cond)
 
 
+def block_of_edges(edges: list[Position], pos="pos", id="id") -> Column:
+    """Number of the block (0-based) that a row of a group falls in, by a binary search in the sorted `edges`
+    (the blocks' `next`): the number of edges before the row's position."""
+    steps, k = [], 1
+    while k <= len(edges):
+        steps.insert(0, k)
+        k *= 2
+    table = F.array(*[e.lit() for e in edges])
+    at = F.struct(as_col(pos).alias("pos"), as_col(id).cast("bigint").alias("id"))
+    before = lambda n: (n <= len(edges)) & (F.get(table, n - 1) < at)
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0),
+                       lambda n, step: F.when(before(n + step), n + step).otherwise(n))
+
+
 # ---------------------------------------------------------------- k-th position
 
 def _add_micros(t: _dt.datetime, us: int) -> _dt.datetime:
@@ -224,39 +237,30 @@ RANK_ROWS_PER_PARTITION = 4_000_000
 
 def rank_rows(df: DataFrame, order: list[str], partitions: int | None = None, count: int | None = None) -> DataFrame:
     """Global 0-based rank of every row in `order` (a total order), without a
-    single-partition window.
+    single-partition window and without Python.
 
-    Rows are range-partitioned and sorted within partitions; the per-partition
-    counts (one row per partition) give each partition its starting rank.  The
-    sorted data are checkpointed (reliably, to the shared folder) so both passes
-    see the same partitions.
+    Rows are range-partitioned and sorted within partitions; `monotonically_increasing_id`
+    then counts them from the partition's own start.  The sorted rows are checkpointed
+    (reliably, to the shared folder), so that the counts per partition (one row per
+    partition, joined back as its starting rank) belong to the same partitions.
     """
     spark = df.sparkSession
     if partitions is None:
         # enough range partitions that each holds a few million rows, whatever the input size
         rows = df.count() if count is None else count
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANK_ROWS_PER_PARTITION))
-    n = partitions
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in order]).sortWithinPartitions(*order)
-              .checkpoint(eager=True))
-    counts = {int(r["p"]): int(r["c"]) for r in
-              ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
-    starts, acc = {}, 0
-    for p in sorted(counts):
-        starts[p] = acc
-        acc += counts[p]
-    schema = StructType(ranged.schema.fields + [StructField("row_rank", LongType())])
-
-    def _rank(batches):
-        import numpy as np
-        from pyspark import TaskContext
-        base = starts.get(TaskContext.get().partitionId(), 0)
-        for pdf in batches:
-            r = base + np.arange(len(pdf), dtype="int64")
-            base += len(pdf)
-            yield pdf.assign(row_rank=r)
-
-    return ranged.mapInPandas(_rank, schema)
+    ranged = (df.repartitionByRange(partitions, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+              .withColumn("_place", F.monotonically_increasing_id()).checkpoint(eager=True))
+    part = F.shiftright("_place", 33).cast("int")
+    counts = sorted((r["p"], r["c"]) for r in ranged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect())
+    starts, acc = [], 0
+    for p, c in counts:
+        starts.append((p, acc))
+        acc += c
+    # a row per partition: the bound of this broadcast
+    table = F.broadcast(spark.createDataFrame(starts, "_part int, _start bigint"))
+    rank = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn("_part", part).join(table, "_part").select(*df.columns, rank.alias("row_rank"))
 
 
 def block_numbers(df: DataFrame, size: int, pos: str = "pos", id: str = "id",

@@ -13,8 +13,8 @@ from ..operators.positions import Position
 from ..session import work_dir
 from ..streaming.stream import file_stream, stream_load
 from .catalog_blocks import FACT_SQL, fact_transform
-from .load import (PositionStore, Target, compact_blocks, drain, drain_planned, load_incremental, load_range,
-                   load_reload, months_between, read_fact, read_published, sql_transform)
+from .load import (PositionStore, Target, compact_blocks, drain_planned, drain_ranges, load_incremental,
+                   load_reload, read_fact, read_published, sql_transform)
 from .registry import register, table
 
 D = _dt.datetime
@@ -24,7 +24,7 @@ FAR_GATE = D(2099, 1, 1)   # explicit gate past the end of the data (D27)
 # ------------------------------------------------------------------ step_load
 def order_fact_target(root):
     return Target(root=f"{root}/fact", partition_by=["o_month"], dedup="new", keys=["o_orderkey"],
-                  prune_range=months_between("o_month"), log_ts="o_orderdate", log_id="o_orderkey",
+                  log_ts="o_orderdate", log_id="o_orderkey",
                   checks={"no_customer": F.col("c_name").isNull(), "zero_price": F.col("o_totalprice") == 0})
 
 
@@ -41,7 +41,7 @@ def q_step_load(spark, sf):
     src = table(spark, sf, "orders")
     drain_planned(spark, "order_fact", src, transform, target, store, D(2024, 2, 1), gate=FAR_GATE,
                   max_step=5000, pos="o_orderdate", id="o_orderkey")
-    return read_fact(spark, target.root).drop("block_id", "o_month")
+    return read_fact(spark, target.root, store).drop("block_id", "o_month")
 
 
 # ------------------------------------------------------------------ uniq_load
@@ -59,7 +59,7 @@ def q_uniq_load(spark, sf):
     src = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
     drain_planned(spark, "line_state", src, lambda b: b, target, store, D(2024, 2, 1), gate=FAR_GATE,
                   max_step=5000, pos="l_shipdate", id="l_orderkey", uniq=True, uniq_order=order[1:])
-    return latest(read_fact(spark, target.root).drop("block_id"), ["l_orderkey"], order)
+    return latest(read_fact(spark, target.root, store).drop("block_id"), ["l_orderkey"], order)
 
 
 # ------------------------------------------------------------------ range_load
@@ -74,11 +74,9 @@ def q_range_load(spark, sf):
     store.init("event_copy", Position(D(2024, 1, 1), 0))
     target = Target(root=f"{root}/fact", dedup="new", keys=["event_id"])
     src = table(spark, sf, "events")
-    drain(lambda: load_range(spark, "event_copy", src,
-                             lambda b: b.select("event_id", "ts", "user_id", "event_type"), target, store,
-                             D(2024, 2, 1), max_step_s=7 * 86400, pos="ts", id="event_id"),
-          until_not_full=False)
-    return read_fact(spark, target.root).drop("block_id")
+    drain_ranges(spark, "event_copy", src, lambda b: b.select("event_id", "ts", "user_id", "event_type"), target,
+                 store, D(2024, 2, 1), max_step_s=7 * 86400, pos="ts", id="event_id")
+    return read_fact(spark, target.root, store).drop("block_id")
 
 
 # ------------------------------------------------------------------ incremental_load (P5)
@@ -99,7 +97,7 @@ def q_incremental_load(spark, sf):
     for now in (D(2024, 1, 15), D(2024, 2, 1)):
         load_incremental(spark, "hourly_events", src, hourly, target, store, now, pos="ts", id="event_id")
     # an hour never straddles the cut at midnight, so the blocks' counts add up per hour
-    return read_fact(spark, target.root).groupBy("hour", "event_type").agg(F.sum("n").alias("n"))
+    return read_fact(spark, target.root, store).groupBy("hour", "event_type").agg(F.sum("n").alias("n"))
 
 
 # ------------------------------------------------------------------ reload_load
@@ -136,7 +134,7 @@ def q_tagged_load(spark, sf):
     for tag, sql in views.items():
         drain_planned(spark, f"orders_copy#{tag}", src, sql_transform(sql), target, store,
                       D(2024, 2, 1), gate=FAR_GATE, max_step=10000, pos="o_orderdate", id="o_orderkey")
-    return read_fact(spark, target.root).drop("block_id")
+    return read_fact(spark, target.root, store).drop("block_id")
 
 
 # ------------------------------------------------------------------ stream_load
@@ -150,8 +148,9 @@ def q_stream_load(spark, sf):
     ev.repartitionByRange(6, "ts").write.mode("overwrite").parquet(f"{root}/stage")
     target = Target(root=f"{root}/fact", dedup="new", keys=["event_id"])
     src = file_stream(spark, f"{root}/stage", ev.schema, max_files=2)
-    stream_load(spark, src, "event_stream", lambda b: b, target, f"{root}/checkpoint")
-    return read_fact(spark, target.root).drop("block_id")
+    store = PositionStore(spark, f"{root}/positions")
+    stream_load(spark, src, "event_stream", lambda b: b, target, f"{root}/checkpoint", store, pos="ts", id="event_id")
+    return read_fact(spark, target.root, store).drop("block_id")
 
 
 # ------------------------------------------------------------------ watermark_gate
@@ -202,7 +201,7 @@ def q_compact_blocks(spark, sf):
     drain_planned(spark, "orders_by_year", src, transform, target, store, D(2024, 2, 1), gate=FAR_GATE,
                   max_step=4000, pos="o_orderdate", id="o_orderkey")
     compact_blocks(spark, "orders_by_year", target, store, D(2024, 2, 1))
-    return read_fact(spark, target.root).drop("block_id", "o_year")
+    return read_fact(spark, target.root, store).drop("block_id", "o_year")
 
 
 # ------------------------------------------------------------------ load_log (Q1 + Q2 from a real load)

@@ -1,49 +1,39 @@
-"""Incremental load jobs (P1-P7) and the block sink.
+"""Incremental load jobs.
 
-One call loads one block:
+One call loads one block, or a group of planned blocks:
 
 1. read the topic's current position row; an unfinished block (a *begin* row
    without its *commit*) is replayed with the same `last`/`next` (B7);
-2. otherwise plan the block: gate (G1 or explicit) + policy (rows, distinct ids,
-   time range, now) and append a begin row;
-3. read the block with the pushdown-friendly predicate (B1), run the transform,
-   deduplicate (L3 for append-only facts, W1 for mutable ones), and overwrite the
-   block's own directory `block_id=<id>` (K1), collecting log metrics with
-   `observe` in the same pass (Q1);
-4. append the commit row `last := next` (B8).
-
-A crash anywhere before 4 leaves the begin row; the retry recomputes the same
-block into the same directory, so nothing is duplicated or left behind.
+2. otherwise plan: gate (G1 or explicit) + policy (rows, distinct ids, time range, now)
+   and append a begin row.  A drain plans up to `horizon` blocks at once and loads them as
+   one group: the begin row lists the blocks' edges, so that a replay forms the same ones;
+3. read the rows with the pushdown-friendly predicate (B1) - in a group each row finds its
+   block by a search in the sorted edges -, run the transform, deduplicate (L3 for append-only
+   facts, W1 for mutable ones), and overwrite the folder `block_id=<id>` (K1), collecting log
+   metrics with `observe` in the same pass (Q1);
+4. append the commit row: `last := next` (B8), and the folder becomes visible.
+
+A crash anywhere before 4 leaves the begin row and a folder that no reader sees; the retry
+recomputes the same rows into the same folder.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from typing import Callable
 
 import xxhash
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.audit import LOG_SCHEMA, block_log_exprs
 from ..operators.gate import dep_gate, precheck_message
 from ..operators.lookup import latest, new_rows
-from ..operators.positions import (DEFAULT_MAX_STEP, Block, Position, block_filter, next_block,
-                                   next_block_uniq, next_now, next_range, plan_blocks)
-
-POSITIONS_SCHEMA = ("topic string, last struct<pos:timestamp_ntz,id:bigint>, rows bigint, "
-                    "next struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, seq bigint, "
-                    "processor string, state string, hostid string, block_id string, published string, "
-                    "written bigint, max_id bigint, min_ts timestamp_ntz, max_ts timestamp_ntz, "
-                    "nulls map<string,bigint>")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Path check through the Hadoop FileSystem of the path (works for any shared store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+from ..operators.positions import (DEFAULT_MAX_STEP, Block, Position, block_filter, block_of_edges, next_block,
+                                   next_block_uniq, next_now, next_range, plan_blocks, shard_filter)
+from .sink import (Target, append_error, append_log, block_dirs, compact_step, conform, delete_path,  # noqa: F401
+                   loaded_keys, log_fields, publish, read_fact, retain_partitions, vacuum, write_block)
+from .store import POSITIONS_SCHEMA, PositionStore  # noqa: F401
 
 
 def make_block_id(topic: str, last: Position | None, nxt: Position) -> str:
@@ -51,74 +41,6 @@ def make_block_id(topic: str, last: Position | None, nxt: Position) -> str:
     return "b" + xxhash.xxh64_hexdigest(key)
 
 
-class PositionStore:
-    """Append-only positions log in Parquet; the current row of a topic has the largest `seq`.
-
-    One writer per destination topic is a requirement (as in the reference), so the
-    store remembers the rows it appended and reads the log only for topics it has
-    not touched yet.
-    """
-
-    _cache: dict = {}   # path -> {topic: newest row}, shared by every store object of the process
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        self._known = PositionStore._cache.setdefault(path.rstrip("/"), {})
-
-    @classmethod
-    def forget(cls, path: str) -> None:
-        """Drop what this process remembers about a store (as a new process would)."""
-        cls._cache.get(path.rstrip("/"), {}).clear()
-
-    def read(self) -> DataFrame:
-        if not _exists(self.spark, self.path):
-            return self.spark.createDataFrame([], POSITIONS_SCHEMA)
-        return self.spark.read.schema(POSITIONS_SCHEMA).parquet(self.path)
-
-    def current(self, topic: str):
-        if topic in self._known:
-            return self._known[topic]
-        rows = (self.read().filter(F.col("topic") == topic)
-                .orderBy(F.col("seq").desc()).limit(1).collect())
-        self._known[topic] = rows[0] if rows else None
-        return self._known[topic]
-
-    def append(self, topic: str, *, last: Position | None, nxt: Position | None = None, rows: int = 0,
-               run=None, processor: str = "", state: str = "", hostid: str = "", block_id: str = "",
-               published: str | None = None, seq: int | None = None, log: dict | None = None) -> None:
-        """Append one row; a commit row may carry the block's log metrics (Q1)."""
-        if seq is None:
-            cur = self.current(topic)
-            seq = (cur["seq"] + 1) if cur else 0
-        lg = log or {}
-        row = (topic, (last.pos, last.id) if last else None, int(rows), (nxt.pos, nxt.id) if nxt else None,
-               run, int(seq), processor, state, hostid, block_id, published,
-               lg.get("rows"), lg.get("max_id"), lg.get("min_ts"), lg.get("max_ts"), lg.get("nulls"))
-        df = self.spark.createDataFrame([row], POSITIONS_SCHEMA)
-        df.write.mode("append").parquet(self.path)
-        self._known[topic] = self._row(row)
-
-    @staticmethod
-    def _row(values):
-        names = [f.split()[0] for f in POSITIONS_SCHEMA.replace("struct<pos:timestamp_ntz,id:bigint>", "S").split(",")]
-        d = dict(zip(names, values))
-        for k in ("last", "next"):
-            if d[k] is not None:
-                d[k] = Row(pos=d[k][0], id=d[k][1])
-        return Row(**d)
-
-    def block_log(self) -> DataFrame:
-        """Q1 log rows of committed blocks, read from the commit rows."""
-        return (self.read().filter(F.col("written").isNotNull())
-                .select("topic", F.col("run").alias("ts"), F.col("written").alias("rows"), "max_id", "min_ts",
-                        "max_ts", F.coalesce("nulls", F.create_map().cast("map<string,bigint>")).alias("nulls"),
-                        F.col("block_id").alias("run_id")))
-
-    def init(self, topic: str, last: Position | None, run=None) -> None:
-        """Start a topic at `last` (None = before the first row)."""
-        self.append(topic, last=last, run=run, processor="init", state="init")
-
-
 @dataclass
 class LoadResult:
     status: str                      # done | nojobs | replayed
@@ -133,127 +55,69 @@ class LoadResult:
     message: str = ""
 
 
-def conform(df: DataFrame, schema) -> DataFrame:
-    """Sinks match columns by name: missing ones become NULL, extra ones are an error."""
-    from pyspark.sql.types import StructType
-    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    extra = [c for c in df.columns if c not in st.fieldNames()]
-    if extra:
-        raise ValueError(f"columns not in the destination: {extra}")
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in st.fields])
+def _minutes(last: Position | None, nxt: Position) -> str:
+    return f"{int((nxt.pos - last.pos).total_seconds() // 60) if last else 0}min"
 
 
-def write_block(df: DataFrame, root: str, block_id: str, partition_by: list[str] | None = None,
-                log_ts: str | None = None, log_id: str | None = None, checks: dict | None = None,
-                files_per_partition: int | None = None) -> dict:
-    """K1: static overwrite of `root/block_id=<id>` (optionally partitioned).
+def dedup_block(out: DataFrame, target: Target, store: PositionStore, block_id: str, pos: str = "pos",
+                id: str = "id") -> DataFrame:
+    """The target's dedup of a transformed block: newest row per key (W1), or rows whose keys are new (L3).
 
-    A replay replaces every file of the block, including partitions the new run no
-    longer produces.  Log aggregates are observed during the same write.
+    Without `target.order`, the first version is the one at the least position, if the rows
+    still carry it, then the least by content: a replay keeps the same one.
     """
-    obs = Observation(f"blk_{block_id}")
-    observed = df.observe(obs, *block_log_exprs(log_ts, log_id, checks))
-    if partition_by:
-        # REBALANCE groups rows by the partition columns (few files per folder) while AQE
-        # may still split a hot partition value across tasks and merge small ones
-        observed = observed.repartition(files_per_partition, *partition_by) if files_per_partition \
-            else observed.hint("rebalance", *partition_by)
-    w = observed.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{root.rstrip('/')}/block_id={block_id}")
-    return dict(obs.get)
-
-
-def read_fact(spark: SparkSession, root: str, exclude_block: str | None = None,
-              committed: list[str] | None = None) -> DataFrame | None:
-    if not _exists(spark, root):
-        return None
-    try:
-        df = spark.read.option("basePath", root).parquet(root)
-    except AnalysisException as e:       # only empty blocks so far: nothing to read
-        if "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    if exclude_block:
-        df = df.filter(F.col("block_id") != exclude_block)
-    if committed is not None:
-        df = df.filter(F.col("block_id").isin(committed))
-    return df
-
-
-def log_fields(metrics: dict, checks: dict | None) -> dict:
-    nulls = {n: int(metrics.get(f"chk_{n}") or 0) for n in (checks or {}) if metrics.get(f"chk_{n}")}
-    return {"rows": int(metrics.get("rows") or 0), "max_id": metrics.get("max_id"), "min_ts": metrics.get("min_ts"),
-            "max_ts": metrics.get("max_ts"), "nulls": nulls}
-
-
-def append_log(spark: SparkSession, log_path: str, topic: str, now, metrics: dict, checks: dict | None,
-               run_id: str) -> None:
-    nulls = {n: int(metrics.get(f"chk_{n}", 0)) for n in (checks or {}) if metrics.get(f"chk_{n}", 0)}
-    row = (topic, now, int(metrics.get("rows", 0)), metrics.get("max_id"), metrics.get("min_ts"),
-           metrics.get("max_ts"), nulls, run_id)
-    spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(log_path)
+    if target.dedup == "latest" and target.keys:
+        return latest(out, target.keys, target.order or [])
+    if target.dedup == "new" and target.keys:
+        order = target.order or first_order(out, target.keys, pos, id)
+        return new_rows(out, loaded_keys(out.sparkSession, store, target.root, out, target.keys, block_id),
+                        target.keys, order=order)
+    return out
 
 
-@dataclass
-class Target:
-    """Where and how a block lands."""
-    root: str
-    partition_by: list[str] | None = None
-    dedup: str | None = "new"          # "new" (first version wins, L3) | "latest" (W1 in block) | None
-    keys: list[str] | None = None
-    order: list[str] | None = None     # total order within a key for dedup="latest"
-    schema: str | None = None          # destination schema (D19)
-    log_path: str | None = None
-    log_ts: str | None = None
-    log_id: str | None = None
-    checks: dict | None = None
-    prune_by: list[str] | None = None  # partition columns fixed per key: dedup reads only the block's values
-    prune_range: Callable | None = None  # (last, next) -> {column: values}: the same without a Spark job
+def first_order(out: DataFrame, keys: list[str], pos: str = "pos", id: str = "id") -> list:
+    """Position, then every column that has an order."""
+    named = [c for c in (pos, id) if c in out.columns and c not in keys]
+    rest = [f.name for f in out.schema.fields if f.name not in (*keys, *named) and "map<" not in f.dataType.simpleString()
+            and "variant" not in f.dataType.simpleString()]
+    return named + rest
 
 
 def _run_block(spark, topic, source, transform, target: Target, store: PositionStore, last, nxt, rows,
-               processor, now, pos, id, replay, block_rows_bound, block_prep=None, before=None, after=None):
+               processor, now, pos, id, replay, block_prep=None, before=None, after=None,
+               edges: list[Position] | None = None):
     block_id = make_block_id(topic, last, nxt)
+    began = time.monotonic()
     if not replay:
         store.append(topic, last=last, nxt=nxt, rows=rows, run=now, processor=processor,
-                     state="processing", block_id=block_id)
-    if before:
-        before(spark)
-    block = block_filter(source, last, nxt, pos, id) if source is not None else None
-    if block_prep is not None:
-        block = block_prep(block)
-    out = transform(block)
-    if target.dedup == "latest" and target.keys:
-        out = latest(out, target.keys, target.order or [])
-    if target.dedup == "new" and target.keys:
-        fact = read_fact(spark, target.root, exclude_block=block_id)
-        prune = None
-        if fact is not None:
-            prune = target.prune_range(last, nxt) if target.prune_range else block_partitions(out, target.prune_by)
-        out = new_rows(out, fact, target.keys, max_block_rows=block_rows_bound, prune=prune, order=target.order)
-    if target.schema:
-        out = conform(out, target.schema)
-    metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,
-                          target.checks)
-    if target.log_path:
-        append_log(spark, target.log_path, topic, now, metrics, target.checks, block_id)
-    if after:
-        after(spark)
-    minutes = int((nxt.pos - last.pos).total_seconds() // 60) if last else 0
-    store.append(topic, last=nxt, rows=rows, run=now, processor=processor, state=f"{minutes}min",
-                 block_id=block_id, log=log_fields(metrics, target.checks))
+                     state="processing", block_id=block_id, edges=edges)
+    try:
+        if before:
+            before(spark)
+        block = block_filter(source, last, nxt, pos, id) if source is not None else None
+        if block_prep is not None:
+            block = block_prep(block, edges)
+        out = dedup_block(transform(block), target, store, block_id, pos, id)
+        if target.schema:
+            out = conform(out, target.schema)
+        metrics, commit = publish(out, target, block_id)
+        if target.log_path:
+            append_log(spark, target.log_path, topic, now, metrics, target.checks, block_id)
+        if after:
+            after(spark)
+    except Exception as e:
+        if target.error_path:
+            append_error(spark, target.error_path, topic, now, e)
+        raise
+    store.append(topic, last=nxt, rows=rows, run=now, processor=processor, state=_minutes(last, nxt),
+                 block_id=block_id, log=log_fields(metrics, target.checks),
+                 elapsed_ms=int(1000 * (time.monotonic() - began)), **commit)
     return LoadResult("replayed" if replay else "done", topic, last, nxt, rows,
-                      processor.startswith("Full"), f"{minutes}min", block_id, metrics)
-
-
-PRUNE_MAX_VALUES = 10_000
+                      processor.startswith("Full"), _minutes(last, nxt), block_id, metrics)
 
 
 def months_between(column: str):
-    """`prune_range` for a fact partitioned by yyyymm of the block's own `pos`."""
+    """Values of a yyyymm partition column between two positions, for partition filters."""
     def values(last: Position | None, nxt: Position) -> dict | None:
         if last is None:
             return None
@@ -261,21 +125,10 @@ def months_between(column: str):
         while (y, m) <= (nxt.pos.year, nxt.pos.month):
             out.append(y * 100 + m)
             y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-        return {column: out} if len(out) <= PRUNE_MAX_VALUES else None
+        return {column: out}
     return values
 
 
-def block_partitions(block: DataFrame, cols: list[str] | None) -> dict | None:
-    """Distinct partition values of a block (one small aggregate), used to read only
-    those fact partitions in dedup; None when there are too many to list."""
-    if not cols:
-        return None
-    vals = block.select(*cols).distinct().limit(PRUNE_MAX_VALUES + 1).collect()
-    if len(vals) > PRUNE_MAX_VALUES or len(cols) != 1:
-        return None
-    return {cols[0]: [r[0] for r in vals]}
-
-
 def _open_block(store: PositionStore, topic: str):
     cur = store.current(topic)
     if cur is not None and cur["next"] is not None:
@@ -287,30 +140,48 @@ def _last_of(cur) -> Position | None:
     return Position.of(cur["last"]) if cur is not None and cur["last"] is not None else None
 
 
+def _uniq_prep(uniq: bool, uniq_order, pos: str, id: str):
+    """Newest version of each id inside its block."""
+    if not uniq:
+        return None
+    order = [pos] + list(uniq_order or [])
+
+    def prep(block, edges):
+        if not edges:
+            return latest(block, [id], order)
+        return latest(block.withColumn("_block_no", block_of_edges(edges, pos, id)), ["_block_no", id], order).drop("_block_no")
+    return prep
+
+
+def shard_topic(topic: str, shard: tuple | None) -> str:
+    return f"{topic}:{shard[1]}" if shard else topic
+
+
 def load_step(spark: SparkSession, topic: str, source: DataFrame, transform: Callable[[DataFrame], DataFrame],
               target: Target, store: PositionStore, now, *, gate=None, positions: DataFrame | None = None,
               deps: list[str] | None = None, delay_s: int = 0, max_step: int = DEFAULT_MAX_STEP,
               pos: str = "pos", id: str = "id", uniq: bool = False, uniq_order: list[str] | None = None,
-              before=None, after=None, planned: Block | None = None) -> LoadResult:
+              before=None, after=None, shard: tuple | None = None, shard_key: str | None = None) -> LoadResult:
     """P1 Step (and P2 UniqId with `uniq=True`).
 
     The gate is `gate` when given, else G1 over `positions` for `deps` (D27: the
-    base source is normally its own first dependency).  `planned` is a block from
-    `plan_blocks` whose `last` must be the topic's current position.
+    base source is normally its own first dependency).  `shard=(n, i)` loads shard i of n (B10): the
+    topic becomes `topic:i` with a position of its own, the source is cut to the shard's
+    rows by `shard_key` (the id column if not given), and the gate takes the shard's own
+    positions of sharded dependencies.
     """
+    if shard:
+        topic, source = shard_topic(topic, shard), shard_filter(source, shard_key or id, *shard)
     cur, replay = _open_block(store, topic)
+    edges = None
     if replay:
         last, nxt, rows = Position.of(cur["last"]), Position.of(cur["next"]), int(cur["rows"])
-        processor = cur["processor"]
-    elif planned is not None and planned.last == _last_of(cur) and not planned.empty:
-        last, nxt, rows = planned.last, planned.next, planned.rows
-        base = "UniqId" if uniq else "Step"
-        processor = ("Full" + base) if planned.full else base
+        processor, edges = cur["processor"], [Position.of(e) for e in cur["edges"] or []] or None
     else:
         last = _last_of(cur)
         laggard = None
         if gate is None:
-            gate, laggard = dep_gate(positions, deps, delay_s, now)
+            gate, laggard = dep_gate(positions, deps, delay_s, now, shard=str(shard[1]) if shard else None)
             if gate is None:
                 return LoadResult("nojobs", topic, last, None, 0, False, laggard or "missing",
                                   message=f"NOJOBS {topic}: dependencies missing")
@@ -321,31 +192,47 @@ def load_step(spark: SparkSession, topic: str, source: DataFrame, transform: Cal
         nxt, rows = plan.next, plan.rows
         base = "UniqId" if uniq else "Step"
         processor = ("Full" + base) if plan.full else base
-    prep = None
-    if uniq:
-        order = [pos] + list(uniq_order or [])
-        prep = lambda b: latest(b, [id], order)  # D22: newest version of each id inside the block
     res = _run_block(spark, topic, source, transform, target, store, last, nxt, rows, processor, now,
-                     pos, id, replay, max_step, prep, before, after)
+                     pos, id, replay, _uniq_prep(uniq, uniq_order, pos, id), before, after, edges)
     res.message = precheck_message(topic, last, nxt, rows, None, now)
     return res
 
 
+def _run_group(spark, topic, source, transform, target, store, plan: list[Block], processor, now, pos, id,
+               prep=None) -> list[LoadResult]:
+    """One write, one begin and one commit row for all blocks of a plan; a result per block."""
+    last, nxt, rows = plan[0].last, plan[-1].next, sum(b.rows for b in plan)
+    res = _run_block(spark, topic, source, transform, target, store, last, nxt, rows, processor, now, pos, id,
+                     False, prep, edges=[b.next for b in plan])
+    return [LoadResult(res.status, topic, b.last, b.next, b.rows, b.full, _minutes(b.last, b.next), res.block_id,
+                       res.metrics, precheck_message(topic, b.last, b.next, b.rows, None, now)) for b in plan]
+
+
 def drain_planned(spark: SparkSession, topic: str, source: DataFrame, transform, target: Target,
                   store: PositionStore, now, *, gate, max_step: int = DEFAULT_MAX_STEP, pos: str = "pos",
                   id: str = "id", uniq: bool = False, uniq_order: list[str] | None = None,
-                  horizon: int = 1000) -> list[LoadResult]:
-    """P7 under a fixed gate: finish an open block, then plan up to `horizon` blocks in
-    one pass (`plan_blocks`) and load them one by one, each with its own begin and
-    commit rows, exactly as the step-by-step drain would."""
+                  horizon: int = 1000, per_block: bool = False, shard: tuple | None = None,
+                  shard_key: str | None = None) -> list[LoadResult]:
+    """P7 under a fixed gate: finish an open block, then plan up to `horizon` blocks in one pass
+    (`plan_blocks`) and load them as one group, until nothing is pending.
+
+    The number of jobs depends on the horizons, not on the blocks.  The table equals that of the
+    step-by-step drain for transforms that work row by row (joins, filters, projections);
+    `uniq` keeps the newest version of an id per block, as stepping would.  A transform that
+    aggregates over its block needs `per_block=True`: then every block is a write of its own.
+    """
+    if shard:
+        topic, source = shard_topic(topic, shard), shard_filter(source, shard_key or id, *shard)
     kw = dict(gate=gate, max_step=max_step, pos=pos, id=id, uniq=uniq, uniq_order=uniq_order)
     out = []
     if _open_block(store, topic)[1]:
         out.append(load_step(spark, topic, source, transform, target, store, now, **kw))
+    prep, base = _uniq_prep(uniq, uniq_order, pos, id), "UniqId" if uniq else "Step"
     while True:
         plan = plan_blocks(source, _last_of(store.current(topic)), gate, max_step, pos, id, uniq, horizon)
-        for b in plan:
-            out.append(load_step(spark, topic, source, transform, target, store, now, planned=b, **kw))
+        for group in ([[b] for b in plan] if per_block else [plan] if plan else []):
+            processor = ("Full" if group[-1].full else "") + base
+            out += _run_group(spark, topic, source, transform, target, store, group, processor, now, pos, id, prep)
         if len(plan) < horizon:
             break
     if not plan:
@@ -359,8 +246,10 @@ def load_range(spark: SparkSession, topic: str, source: DataFrame, transform, ta
                id: str = "id", before=None, after=None) -> LoadResult:
     """P3 Range: a fixed time window after `last`, no gate, rows not counted."""
     cur, replay = _open_block(store, topic)
+    edges = None
     if replay:
         last, nxt = Position.of(cur["last"]), Position.of(cur["next"])
+        edges = [Position.of(e) for e in cur["edges"] or []] or None
     else:
         last = _last_of(cur)
         if last is None:
@@ -370,7 +259,28 @@ def load_range(spark: SparkSession, topic: str, source: DataFrame, transform, ta
             return LoadResult("nojobs", topic, last, None, 0, False, "range not forward",
                               message=f"NOJOBS {topic}: range not forward")
     return _run_block(spark, topic, source, transform, target, store, last, nxt, 1, "Range", now,
-                      pos, id, replay, None, None, before, after)
+                      pos, id, replay, None, before, after, edges)
+
+
+def drain_ranges(spark: SparkSession, topic: str, source: DataFrame, transform, target: Target,
+                 store: PositionStore, now, *, max_step_s: int, delay_s: int = 0, pos: str = "pos", id: str = "id",
+                 horizon: int = 1000) -> list[LoadResult]:
+    """P3 drained: the windows up to `now - delay_s`, at most `horizon` per group, one write per group."""
+    out = []
+    if _open_block(store, topic)[1]:
+        out.append(load_range(spark, topic, source, transform, target, store, now, max_step_s=max_step_s,
+                              delay_s=delay_s, pos=pos, id=id))
+    while True:
+        last, plan = _last_of(store.current(topic)), []
+        if last is None:
+            raise ValueError(f"topic {topic} needs an initial position for Range")
+        while len(plan) < horizon and (nxt := next_range(last, max_step_s, delay_s, now)) is not None:
+            plan.append(Block(last, nxt, 1))
+            last = nxt
+        if not plan:
+            return out + [LoadResult("nojobs", topic, last, None, 0, False, "range not forward",
+                                     message=f"NOJOBS {topic}: range not forward")]
+        out += _run_group(spark, topic, source, transform, target, store, plan, "Range", now, pos, id)
 
 
 def load_incremental(spark: SparkSession, topic: str, source: DataFrame, transform, target: Target,
@@ -385,7 +295,7 @@ def load_incremental(spark: SparkSession, topic: str, source: DataFrame, transfo
         if nxt is None:
             return LoadResult("nojobs", topic, last, None, 0, False, "range not forward")
     return _run_block(spark, topic, source, transform, target, store, last, nxt, 1, "Incremental2", now,
-                      pos, id, replay, None)
+                      pos, id, replay)
 
 
 def load_reload(spark: SparkSession, topic: str, build: Callable[[], DataFrame], root: str,
@@ -416,7 +326,7 @@ def load_reload(spark: SparkSession, topic: str, build: Callable[[], DataFrame],
     store.append(topic, last=nxt, rows=rows, run=now, processor="Reload", state="published",
                  block_id=version, published=path)
     if drop_old and old and old != path:
-        _delete_path(spark, old)
+        delete_path(spark, old)
     return LoadResult("replayed" if replay else "done", topic, last, nxt, rows, False, "published", version)
 
 
@@ -427,68 +337,16 @@ def read_published(spark: SparkSession, store: PositionStore, topic: str) -> Dat
     return spark.read.parquet(cur["published"])
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a superseded version folder through the Hadoop FileSystem of the path."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(p, True)
-
-
-def _block_dirs(spark: SparkSession, root: str) -> list[str]:
-    """Block ids present under a fact root (one directory listing)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith("block_id="))
-
-
 def compact_blocks(spark: SparkSession, topic: str, target: Target, store: PositionStore, now,
-                   min_blocks: int = 2) -> LoadResult:
-    """K6 for a load's destination: merge its committed block folders into one.
-
-    Protocol: a begin row (topic `<topic>#compact`) names the source blocks; the
-    merged folder is written (Spark's `_SUCCESS` marks it complete); the sources
-    are deleted; a commit row closes it.  A retry after a crash reuses the begin
-    row: it rewrites the merged folder only if it is incomplete (all sources still
-    exist then) and finishes the deletions.  The topic's open block is never
-    touched, so a pending replay keeps its own folder.  With `target.keys` and
-    `target.order` the merge also keeps only the newest row per key (W1).
-    """
-    ctopic = f"{topic}#compact"
-    cur, replay = _open_block(store, ctopic)
-    root = target.root.rstrip("/")
-    if replay:
-        cid, sources = cur["block_id"], [b for b in (cur["published"] or "").split(",") if b]
-    else:
-        open_row, is_open = _open_block(store, topic)
-        busy = {open_row["block_id"]} if is_open else set()
-        sources = [b for b in _block_dirs(spark, root) if b not in busy]
-        if len(sources) < min_blocks:
-            return LoadResult("nojobs", ctopic, message=f"NOJOBS {ctopic}: {len(sources)} block(s)")
-        cid = "c" + xxhash.xxh64_hexdigest(",".join(sources))
-        store.append(ctopic, last=None, nxt=Position(now, 0), rows=len(sources), run=now, processor="Compact",
-                     state="compacting", block_id=cid, published=",".join(sources))
-    path = f"{root}/block_id={cid}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        merged = (spark.read.option("basePath", root).parquet(*[f"{root}/block_id={b}" for b in sources])
-                  .drop("block_id"))
-        if target.dedup == "latest" and target.keys:
-            merged = latest(merged, target.keys, target.order or [])
-        w = (merged.hint("rebalance", *target.partition_by) if target.partition_by else merged).write.mode("overwrite")
-        if target.partition_by:
-            w = w.partitionBy(*target.partition_by)
-        w.parquet(path)
-    for b in sources:
-        if b != cid and _exists(spark, f"{root}/block_id={b}"):
-            _delete_path(spark, f"{root}/block_id={b}")
-    store.append(ctopic, last=Position(now, 0), rows=len(sources), run=now, processor="Compact",
-                 state="compacted", block_id=cid)
-    return LoadResult("replayed" if replay else "done", ctopic, None, Position(now, 0), len(sources), False,
-                      "compacted", cid)
+                   min_blocks: int = 2, keep_s: int = 0) -> LoadResult:
+    """K6 for a load's destination: merge tiers of at least `min_blocks` committed blocks of like size until
+    there is none (`compact_step`)."""
+    ctopic, out = f"{topic}#compact", None
+    while (step := compact_step(spark, topic, target, store, now, min_blocks, keep_s)) is not None:
+        cid, sources, replay = step
+        out = LoadResult("replayed" if replay or (out and out.status == "replayed") else "done", ctopic, None,
+                         Position(now, 0), len(sources), False, "compacted", cid)
+    return out or LoadResult("nojobs", ctopic, message=f"NOJOBS {ctopic}: no {min_blocks} blocks of like size")
 
 
 def sql_transform(sql: str, **frames: DataFrame) -> Callable[[DataFrame], DataFrame]:

@@ -2,21 +2,27 @@
 
 The same block body runs per micro-batch through `foreachBatch`: the micro-batch
 is the block, its batch id names the block directory, and Structured Streaming's
-checkpoint is the position.  A batch replayed after a failure gets the same id and
-overwrites its own directory, so the sink stays exactly-once over at-least-once
-delivery.
+checkpoint drives the source.  A batch replayed after a failure gets the same id and
+overwrites its own directory, or finds it committed, so the sink stays exactly-once over
+at-least-once delivery.  The commit row in the position log makes the batch visible and
+carries the position reached.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import hashlib
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lookup import latest, new_rows
-from ..plans.load import Target, append_log, block_partitions, conform, read_fact, write_block
+from ..functions.exprs import position
+from ..operators.positions import Position
+from ..plans.load import dedup_block
+from ..plans.sink import Target, append_log, conform, log_fields, publish
+from ..plans.store import PositionStore
 
 
 def stream_block_id(topic: str, stream: str, batch_id: int) -> str:
@@ -25,35 +31,49 @@ def stream_block_id(topic: str, stream: str, batch_id: int) -> str:
 
 
 def block_writer(spark: SparkSession, topic: str, transform: Callable[[DataFrame], DataFrame], target: Target,
-                 now=None, max_rows: int | None = None, stream: str = ""):
+                 store: PositionStore, now=None, stream: str = "", pos: str | None = None, id: str | None = None):
     """A `foreachBatch` function running the block body on each micro-batch.
 
     `stream` names the stream across restarts (its checkpoint folder): a batch that is
-    delivered again overwrites its own folder, and no other stream's."""
+    delivered again overwrites its own folder, and no other stream's; one that is already
+    committed is left alone.  The commit row publishes the folder.  With `pos` and `id`, the
+    columns of the source's positions, it also moves the topic to the newest position seen, so
+    that batch loads can be gated on a streamed table (G1).
+    """
+
+    done = []   # newest batch that this writer has committed
 
     def run(batch: DataFrame, batch_id: int) -> None:
         block_id = stream_block_id(topic, stream, batch_id)
-        out = transform(batch)
-        if target.dedup == "latest" and target.keys:
-            out = latest(out, target.keys, target.order or [])
-        if target.dedup == "new" and target.keys:
-            fact = read_fact(spark, target.root, exclude_block=block_id)
-            prune = None if fact is None else block_partitions(out, target.prune_by)
-            out = new_rows(out, fact, target.keys, max_block_rows=max_rows, prune=prune, order=target.order)
+        if done != [batch_id - 1] and store.has_commit(target.root, block_id):   # after a restart
+            return
+        began, when = time.monotonic(), now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        last, rows = store.current(topic), 0
+        last = Position.of(last["last"]) if last else None
+        if pos:
+            # the batch's own two columns
+            seen = batch.agg(F.max(position(pos, id)).alias("m"), F.count(F.lit(1)).alias("n")).first()
+            rows = seen["n"]
+            newest = Position.of(seen["m"]) if seen["m"] is not None and seen["m"]["pos"] is not None else None
+            last = max((p for p in (last, newest) if p), default=None)
+        out = dedup_block(transform(batch), target, store, block_id, pos or "pos", id or "id")
         if target.schema:
             out = conform(out, target.schema)
-        metrics = write_block(out, target.root, block_id, target.partition_by, target.log_ts, target.log_id,
-                              target.checks)
+        metrics, commit = publish(out, target, block_id)
         if target.log_path:
-            append_log(spark, target.log_path, topic, now, metrics, target.checks, block_id)
+            append_log(spark, target.log_path, topic, when, metrics, target.checks, block_id)
+        store.append(topic, last=last, rows=rows, run=when, processor="Stream", state=f"batch {batch_id}", block_id=block_id,
+                     log=log_fields(metrics, target.checks), elapsed_ms=int(1000 * (time.monotonic() - began)), **commit)
+        done[:] = [batch_id]
 
     return run
 
 
-def stream_load(spark: SparkSession, source: DataFrame, topic: str, transform, target: Target,
-                checkpoint: str, now=None, available_now: bool = True, max_rows: int | None = None):
+def stream_load(spark: SparkSession, source: DataFrame, topic: str, transform, target: Target, checkpoint: str,
+                store: PositionStore, now=None, available_now: bool = True, pos: str | None = None,
+                id: str | None = None):
     """Drive the block body from a streaming source; returns the finished query."""
-    w = (source.writeStream.foreachBatch(block_writer(spark, topic, transform, target, now, max_rows, stream=checkpoint))
+    w = (source.writeStream.foreachBatch(block_writer(spark, topic, transform, target, store, now, checkpoint, pos, id))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()

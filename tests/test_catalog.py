@@ -11,6 +11,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as E
+from factline.plans.catalog import all_oracle_sql, all_queries
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -40,14 +41,11 @@ def test_entry(spark):
     assert df.count() > 0 and "o_orderkey" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = all_queries()[name](spark, SF)
     got = sorted((tuple(norm(x) for x in r) for r in df.collect()), key=repr)
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        return
-    rel = con.sql(sql)
+    rel = con.sql(all_oracle_sql()[name])
     idx = [rel.columns.index(c) for c in df.columns]
     want = sorted((tuple(norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
     assert got == want

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from factline.functions.exprs import month_key
-from factline.plans.load import (PositionStore, Target, drain, load_reload, load_step, read_fact,
+from factline.plans.load import (PositionStore, Target, drain, load_reload, load_step, publish, read_fact,
                                  read_published, write_block)
 from factline.streaming.stream import file_stream, stream_load
 
@@ -35,14 +35,14 @@ def test_incremental_equals_full(spark, tmp):
     res = drain(lambda: load_step(spark, "t", src, transform, target, store, D(2024, 1, 1), gate=FAR,
                                   max_step=400, pos="o_orderdate", id="o_orderkey"))
     assert [r.rows for r in res] == [400, 400, 400, 300]
-    assert rows(read_fact(spark, target.root)) == rows(src)
+    assert rows(read_fact(spark, target.root, store)) == rows(src)
     # gate safety: nothing at or after the gate is loaded
     store2 = PositionStore(spark, f"{tmp}/pos2")
     target2 = Target(root=f"{tmp}/fact2", keys=["o_orderkey"])
     gate = D(1997, 1, 1)
     drain(lambda: load_step(spark, "t", src, transform, target2, store2, D(2024, 1, 1), gate=gate,
                             max_step=10000, pos="o_orderdate", id="o_orderkey"))
-    f = read_fact(spark, target2.root)
+    f = read_fact(spark, target2.root, store2)
     assert f.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")).count() == 0
     assert f.count() == src.filter(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")).count()
 
@@ -73,31 +73,39 @@ def test_crash_after_write_replays_same_block(spark, tmp):
     assert r.status == "replayed" and r.next == plan.next and r.block_id == bid
     drain(lambda: load_step(spark, "t", src, transform, target, fresh, D(2024, 1, 1), gate=FAR, max_step=500,
                             pos="o_orderdate", id="o_orderkey"))
-    f = read_fact(spark, target.root)
+    f = read_fact(spark, target.root, store)
     assert f.count() == src.count() and f.select("o_orderkey").distinct().count() == src.count()
 
 
 def test_replay_with_fewer_partitions_leaves_nothing(spark, tmp):
     src = orders(spark).limit(50)
-    root = f"{tmp}/fact"
-    write_block(transform(src), root, "bX", ["o_month"])
-    write_block(transform(src).filter(F.col("o_month") == F.lit(199501)).limit(1), root, "bX", ["o_month"])
-    f = read_fact(spark, root)
-    assert (f.count() if f is not None else 0) <= 1
+    root, store = f"{tmp}/fact", PositionStore(spark, f"{tmp}/pos")
+    target = Target(root=root, dedup=None, partition_by=["o_month"])
+    publish(transform(src), target, "bX")
+    _, commit = publish(transform(src).limit(1), target, "bX")
+    assert read_fact(spark, root, store) is None    # nothing committed
+    store.append("t", last=None, **commit)
+    assert read_fact(spark, root, store).count() == 1
+    _, commit = publish(transform(src).limit(0), target, "bY")
+    store.append("t", last=None, **commit)
+    assert read_fact(spark, root, store).count() == 1   # a block without rows publishes nothing
 
 
 def test_dedup_on_insert_and_replay(spark, tmp):
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
-    root = f"{tmp}/fact"
     from factline.operators.lookup import new_rows
-    write_block(spark.createDataFrame([(2, "old")], "k bigint, v string"), root, "b1")
-    fact = read_fact(spark, root, exclude_block="b2")
-    write_block(new_rows(df, fact, ["k"]), root, "b2")
-    # replay of b2 excludes its own rows from the dedup side: still written once
-    fact = read_fact(spark, root, exclude_block="b2")
-    write_block(new_rows(df, fact, ["k"]), root, "b2")
-    got = sorted((r.k, r.v) for r in read_fact(spark, root).collect())
-    assert got == [(1, "a"), (2, "old")]
+    from factline.plans.load import loaded_keys
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (None, "n")], "k bigint, v string")
+    store = PositionStore(spark, f"{tmp}/pos")
+    for keyed in (True, False):     # the keys of b1 from its digest, or from the rows of a job without one
+        root = f"{tmp}/fact{keyed}"
+        target = Target(root=root, keys=["k"])
+        _, commit = publish(spark.createDataFrame([(2, "old")], "k bigint, v string"), Target(root=root, dedup="new" if keyed else None, keys=["k"]), "b1")
+        store.append("t", last=None, **commit)
+        for _ in range(2):   # a replay of b2 excludes its own rows from the dedup side: still written once
+            _, commit = publish(new_rows(df, loaded_keys(spark, store, root, df, ["k"], "b2"), ["k"]), target, "b2")
+        store.append("t", last=None, **commit)
+        got = sorted(((r.k, r.v) for r in read_fact(spark, root, store).collect()), key=repr)
+        assert got == [(1, "a"), (2, "old"), (None, "n"), (None, "n")]
 
 
 def test_reload_publishes_versions(spark, tmp):
@@ -112,13 +120,13 @@ def test_reload_publishes_versions(spark, tmp):
 def test_streaming_equals_batch(spark, tmp):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id")
     ev.repartitionByRange(4, "ts").write.parquet(f"{tmp}/stage")
-    target = Target(root=f"{tmp}/fact", keys=["event_id"])
+    target, store = Target(root=f"{tmp}/fact", keys=["event_id"]), PositionStore(spark, f"{tmp}/pos")
     stream_load(spark, file_stream(spark, f"{tmp}/stage", ev.schema, max_files=1), "s", lambda b: b, target,
-                f"{tmp}/ckpt")
+                f"{tmp}/ckpt", store)
     # a second run over the same checkpoint finds nothing new and changes nothing
     stream_load(spark, file_stream(spark, f"{tmp}/stage", ev.schema, max_files=1), "s", lambda b: b, target,
-                f"{tmp}/ckpt")
-    f = read_fact(spark, target.root)
+                f"{tmp}/ckpt", store)
+    f = read_fact(spark, target.root, store)
     assert f.count() == ev.count() and f.select("block_id").distinct().count() == 4
 
 
@@ -134,34 +142,162 @@ def test_planned_drain_equals_stepwise(spark, tmp):
         b = drain_planned(spark, "t", src, transform, t2, s2, D(2024, 1, 1), horizon=2, **kw)
         edges = lambda rs: [(r.next, r.rows) for r in rs if r.status != "nojobs"]
         assert edges(a) == edges(b) and len(edges(a)) >= 3
-        assert rows(read_fact(spark, t1.root)) == rows(read_fact(spark, t2.root))
+        assert rows(read_fact(spark, t1.root, s1)) == rows(read_fact(spark, t2.root, s2))
 
 
-def test_compact_blocks_with_crash(spark, tmp):
-    from factline.plans.load import _block_dirs, compact_blocks
+def test_compact_blocks_with_crash(spark, tmp, monkeypatch):
+    """One copy is visible at every point, and an open block of another tag survives."""
+    import factline.plans.sink as K
+    from factline.operators.positions import next_block
+    from factline.plans.load import block_dirs, compact_blocks, make_block_id
     src = orders(spark)
     store = PositionStore(spark, f"{tmp}/pos")
     target = Target(root=f"{tmp}/fact", partition_by=["o_month"], keys=["o_orderkey"])
-    drain(lambda: load_step(spark, "t", src, transform, target, store, D(2024, 1, 1), gate=FAR, max_step=400,
-                            pos="o_orderdate", id="o_orderkey"))
-    before = rows(read_fact(spark, target.root))
-    assert len(_block_dirs(spark, target.root)) == 4
-    # crash after the merged folder is written, before the sources are deleted
-    import factline.plans.load as L
-    real = L._delete_path
-    L._delete_path = lambda *a: (_ for _ in ()).throw(RuntimeError("crash"))
+    kw = dict(gate=FAR, max_step=400, pos="o_orderdate", id="o_orderkey")
+    drain(lambda: load_step(spark, "t", src, transform, target, store, D(2024, 1, 1), **kw))
+    before = rows(read_fact(spark, target.root, store))
+    assert len(block_dirs(spark, target.root)) == 4
+    # another tag has begun a block and died after the write
+    extra = src.limit(30).withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000).cache()
+    plan = next_block(extra, None, FAR, 400, "o_orderdate", "o_orderkey")
+    open_id = make_block_id("t#x", None, plan.next)
+    store.append("t#x", last=None, nxt=plan.next, rows=30, processor="Step", state="processing", block_id=open_id)
+    write_block(transform(extra), target.root, open_id, ["o_month"])
+    assert rows(read_fact(spark, target.root, store)) == before
+    # a crash before the merged folder is published, then one after it, before the sources are deleted
+    real = PositionStore.append
+    monkeypatch.setattr(PositionStore, "append", lambda self, topic, **k: real(self, topic, **k) if k.get("nxt") else 1 / 0)
     try:
         compact_blocks(spark, "t", target, store, D(2024, 1, 2))
-    except RuntimeError:
+    except ZeroDivisionError:
         pass
-    finally:
-        L._delete_path = real
+    monkeypatch.setattr(PositionStore, "append", real)
+    assert rows(read_fact(spark, target.root, store)) == before and len(block_dirs(spark, target.root)) == 6
+    monkeypatch.setattr(K, "delete_path", lambda *a: 1 / 0)
+    try:
+        compact_blocks(spark, "t", target, store, D(2024, 1, 2))
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    assert rows(read_fact(spark, target.root, store)) == before and len(store.live(target.root).folders) == 1
     PositionStore.forget(f"{tmp}/pos")
-    r = compact_blocks(spark, "t", target, PositionStore(spark, f"{tmp}/pos"), D(2024, 1, 2))
-    assert r.status == "replayed" and len(_block_dirs(spark, target.root)) == 1
-    assert rows(read_fact(spark, target.root)) == before
-    # loading continues on top of the compacted folder without duplicates
-    assert compact_blocks(spark, "t", target, store, D(2024, 1, 3)).status == "nojobs"
+    fresh = PositionStore(spark, f"{tmp}/pos")
+    assert K.vacuum(spark, fresh, target.root, D(2024, 1, 3)) == 4
+    assert len(block_dirs(spark, target.root)) == 2     # the merged one and the open one
+    assert compact_blocks(spark, "t", target, fresh, D(2024, 1, 3)).status == "nojobs"
+    # the open block is replayed on top, and nothing is doubled by a further load
+    r = load_step(spark, "t#x", extra, transform, target, fresh, D(2024, 1, 4), **kw)
+    assert r.status == "replayed" and read_fact(spark, target.root, fresh).count() == src.count() + 30
+    store2 = PositionStore(spark, f"{tmp}/pos")
+    store2.append("again", last=None)
+    drain(lambda: load_step(spark, "again", src, transform, target, store2, D(2024, 1, 5), **kw))
+    assert read_fact(spark, target.root, store2).count() == src.count() + 30
+
+
+def test_tiers_rewrite_a_row_a_logarithmic_number_of_times(spark, tmp):
+    from factline.plans.sink import compact_step, publish
+    store, target, written = PositionStore(spark, f"{tmp}/pos"), Target(root=f"{tmp}/fact", dedup=None), 0
+    for i in range(16):
+        metrics, commit = publish(spark.range(10 * i, 10 * i + 10), target, f"b{i}")
+        store.append("t", last=None, log=metrics, block_id=f"b{i}", run=D(2024, 1, 1), **commit)
+        while (step := compact_step(spark, "t", target, store, D(2024, 1, 2), 4)) is not None:
+            written += 1
+            assert read_fact(spark, target.root, store).count() == 10 * i + 10
+    # 16 blocks of 10 rows: four merges of four blocks, then one of those four
+    assert written == 5 and len(store.live(target.root).folders) == 1
+    assert store.block_log().count() == 16      # merges are no loads
+
+
+def test_retention_deletes_partitions_and_hides_them_first(spark, tmp, monkeypatch):
+    import factline.plans.sink as K
+    store = PositionStore(spark, f"{tmp}/pos")
+    target = Target(root=f"{tmp}/fact", dedup=None, partition_by=["kind", "month"])
+    df = spark.range(100).select("id", (F.col("id") % 3).alias("kind"), (F.col("id") % 10).cast("int").alias("month"))
+    for i in range(2):
+        metrics, commit = K.publish(df, target, f"b{i}")
+        store.append("t", last=None, **commit)
+    monkeypatch.setattr(K, "delete_path", lambda *a: 1 / 0)
+    try:
+        K.retain_partitions(spark, "t", target, store, D(2024, 1, 1), "month", 4)
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    left = lambda: (read_fact(spark, target.root, store).count(), read_fact(spark, target.root, store).agg(F.min("month")).first()[0])
+    assert left() == (120, 4)
+    assert len(K.retain_partitions(spark, "t", target, store, D(2024, 1, 1), "month", 4)) == 24
+    assert left() == (120, 4) and K.retain_partitions(spark, "t", target, store, D(2024, 1, 2), "month", 4) == []
+
+
+def test_log_rows_and_errors_of_replays(spark, tmp):
+    """A replayed block has one log row, in the commit rows and in a log table; a failed run leaves an error row."""
+    src, store = orders(spark), PositionStore(spark, f"{tmp}/pos")
+    target = Target(root=f"{tmp}/fact", dedup=None, log_path=f"{tmp}/log", error_path=f"{tmp}/errors", log_id="o_orderkey")
+    kw = dict(gate=FAR, max_step=5000, pos="o_orderdate", id="o_orderkey")
+    crash = lambda *_: (_ for _ in ()).throw(RuntimeError("lost"))
+    for hook in (crash, crash, None):
+        try:
+            load_step(spark, "t", src, transform, target, store, D(2024, 1, 1), after=hook, **kw)
+        except RuntimeError:
+            assert read_fact(spark, target.root, store) is None
+    assert store.block_log().count() == 1 and spark.read.parquet(f"{tmp}/log").count() == 1
+    assert [r.err for r in spark.read.parquet(f"{tmp}/errors").collect()] == ["lost", "lost"]
+    run = store.runs().first()
+    assert run.read_rows == run.written_rows == src.count() and run.duration_ms > 0
+
+
+def test_group_jobs_do_not_depend_on_the_blocks(spark, tmp):
+    from factline.plans.load import drain_planned
+    src = orders(spark)
+    jobs = []
+    for size in (100, 700):
+        store, target = PositionStore(spark, f"{tmp}/p{size}"), Target(root=f"{tmp}/f{size}", dedup=None)
+        spark.sparkContext.setJobGroup(f"g{size}", "count")
+        out = drain_planned(spark, "t", src, transform, target, store, D(2024, 1, 1), gate=FAR, max_step=size,
+                            pos="o_orderdate", id="o_orderkey")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"g{size}")))
+        assert len(out) == -(-1500 // size) and rows(read_fact(spark, target.root, store)) == rows(src)
+        assert store.read().count() == 2    # a begin and a commit row
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
+def test_crashed_group_is_replayed_with_its_own_edges(spark, tmp):
+    from factline.plans.load import drain_planned
+    src = spark.createDataFrame([(D(2024, 1, 1 + i // 3), i % 5, i) for i in range(60)], "pos timestamp_ntz, id bigint, v int")
+    kw = dict(gate=FAR, max_step=2, uniq=True, uniq_order=["v"])
+    store, target = PositionStore(spark, f"{tmp}/p"), Target(root=f"{tmp}/f", dedup=None)
+    want_store, want_target = PositionStore(spark, f"{tmp}/p2"), Target(root=f"{tmp}/f2", dedup=None)
+    drain_planned(spark, "t", src, lambda b: b, want_target, want_store, D(2024, 1, 1), **kw)
+    try:
+        drain_planned(spark, "t", src, lambda b: 1 / 0, target, store, D(2024, 1, 1), **kw)
+    except ZeroDivisionError:
+        pass
+    PositionStore.forget(f"{tmp}/p")
+    out = drain_planned(spark, "t", src, lambda b: b, target, PositionStore(spark, f"{tmp}/p"), D(2024, 1, 1), **kw)
+    assert out[0].status == "replayed"
+    got = lambda s, t: sorted(tuple(r)[:3] for r in read_fact(spark, t.root, s).collect())
+    assert got(store, target) == got(want_store, want_target)
+
+
+def test_stream_moves_a_position_that_gates_batch_loads(spark, tmp):
+    from factline.operators.gate import dep_gate
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id")
+    ev.write.parquet(f"{tmp}/stage")
+    store, target = PositionStore(spark, f"{tmp}/pos"), Target(root=f"{tmp}/fact", keys=["event_id"])
+    load = lambda ck: stream_load(spark, file_stream(spark, f"{tmp}/stage", ev.schema, max_files=1), "s", lambda b: b,
+                                  target, ck, store, now=D(2024, 1, 1), pos="ts", id="event_id")
+    load(f"{tmp}/a")
+    newest = ev.agg(F.max("ts")).first()[0]
+    assert dep_gate(store.read(), ["s"], 0, FAR) == (newest, "s")
+    # a batch that was committed before the stream's own checkpoint was lost is not written twice
+    n = store.read().count()
+    import shutil
+    shutil.rmtree(f"{tmp}/a")
+    load(f"{tmp}/a")
+    assert store.read().count() == n and read_fact(spark, target.root, store).count() == ev.count()
+    # a second stream into the same table shares nothing but the keys
+    load(f"{tmp}/b")
+    assert read_fact(spark, target.root, store).count() == ev.count()
 
 
 def test_stream_dedup(spark, tmp):
@@ -170,9 +306,9 @@ def test_stream_dedup(spark, tmp):
     ev.write.parquet(f"{tmp}/a")
     ev.write.parquet(f"{tmp}/b")          # the same rows delivered twice
     src = file_stream(spark, f"{tmp}/[ab]", ev.schema, max_files=1)
-    target = Target(root=f"{tmp}/fact", dedup=None)
-    stream_load(spark, stream_dedup(src, ["event_id"], "ts", "365 days"), "s", lambda b: b, target, f"{tmp}/ck")
-    f = read_fact(spark, target.root)
+    target, store = Target(root=f"{tmp}/fact", dedup=None), PositionStore(spark, f"{tmp}/pos")
+    stream_load(spark, stream_dedup(src, ["event_id"], "ts", "365 days"), "s", lambda b: b, target, f"{tmp}/ck", store)
+    f = read_fact(spark, target.root, store)
     assert f.count() == ev.count()
 
 
@@ -187,7 +323,7 @@ def test_shard_union_equals_unsharded(spark, tmp):
         part = shard_filter(src, "o_orderkey", 2, i)
         drain(lambda p=part, i=i: load_step(spark, f"t:{i}", p, transform, target, store, D(2024, 1, 1), gate=FAR,
                                             max_step=500, pos="o_orderdate", id="o_orderkey"))
-    assert rows(read_fact(spark, target.root)) == rows(src)
+    assert rows(read_fact(spark, target.root, store)) == rows(src)
     assert store.current("t:0")["last"] != store.current("t:1")["last"]
 
 
