@@ -87,6 +87,11 @@ def or_zero_timestamp(c, formats=None) -> Column:
     return F.coalesce(*tries, ts_lit("1970-01-01 00:00:00"))
 
 
+def base64_bytes(c) -> Column:
+    """Base64 text -> bytes; NULL where the text is none."""
+    return F.try_to_binary(as_col(c), F.lit("base64"))
+
+
 def bytes_to_uuid(c) -> Column:
     """16 bytes -> canonical 8-4-4-4-12 lower-case text (bytes in natural order, D25)."""
     h = F.lower(F.hex(as_col(c)))

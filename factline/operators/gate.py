@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import elapsed_seconds, in_time_window, time_delta_seconds, topic_key, topic_parts, ts_lit
@@ -34,23 +34,36 @@ def source_positions(spark, sources: dict, pos: str = "pos", id: str = "id") ->
 
 
 def current_positions(positions: DataFrame, shard: str | None = None, all_shards: bool = False) -> DataFrame:
-    """Newest row per topic, topics whose newest row is `deleted` skipped (D5), own shard or
-    unsharded (D28) unless `all_shards` (reports).
+    """Newest row per topic, topics whose newest row is `deleted` skipped.
+
+    A reader takes its own shard's and the unsharded row of a topic (D28); where there is
+    neither, it needs the whole topic, and every shard's row counts.  `all_shards` (reports)
+    keeps all rows.
 
     Newest by `seq` within a run where the log has one (a begin and a commit row can tie on
     everything else).  Output adds `t` = topic without its shard suffix.
     """
     p = positions
-    if not all_shards:
-        sh = F.regexp_extract("topic", r":(.*)$", 1)
-        p = p.filter((sh == "") | (sh == F.lit(shard or "")))
     newest = [F.col(c).desc() for c in ("run", "seq") if c in p.columns] + [F.col("last").desc()]
     w = Window.partitionBy("topic").orderBy(*newest)
     p = p.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     if "processor" in p.columns:
         # after the choice: the append-only log still holds older rows of a deleted topic
         p = p.filter(F.coalesce(F.col("processor"), F.lit("")) != "deleted")
-    return p.withColumn("t", topic_key("topic"))
+    p = p.withColumn("t", topic_key("topic"))
+    if not all_shards:
+        p = p.withColumn("_far", ~_near(_shard("topic"), F.lit(shard or "")))
+        p = p.withColumn("_all", F.min("_far").over(Window.partitionBy("t"))).filter(F.col("_far") == F.col("_all"))
+        p = p.drop("_far", "_all")
+    return p
+
+
+def _shard(topic) -> Column:
+    return F.regexp_extract(topic, r":(.*)$", 1)
+
+
+def _near(shard: Column, reader: Column) -> Column:
+    return (shard == "") | (shard == reader)
 
 
 def dep_gate_df(positions: DataFrame, deps: list[str], delay_s: int, now, strict: bool = False,
@@ -84,13 +97,14 @@ def dep_gate(positions: DataFrame, deps: list[str], delay_s: int, now, strict: b
 def pipelines_from(lineage: DataFrame, destinations: DataFrame) -> DataFrame:
     """Lineage rows (table, depends_on, delay, repeat, time) completed with each
     destination's newest position row (last, run, processor, hostid), e.g. from a
-    load's `PositionStore.read()`.  Destinations never loaded start at NULL `last`."""
+    load's `PositionStore.read()`.  A sharded destination gives one row per shard, its topic
+    as `table`.  Destinations never loaded start at NULL `last`."""
     cur = current_positions(destinations, all_shards=True).select(
-        F.col("topic").alias("table"), F.col("last.pos").alias("last"), "run",
+        F.col("t").alias("table"), "topic", F.col("last.pos").alias("last"), "run",
         F.coalesce(F.col("processor"), F.lit("")).alias("processor"),
         F.coalesce(F.col("hostid"), F.lit("")).alias("hostid"))
     return lineage.join(cur, "table", "left").select(
-        "table", "depends_on", "delay", "repeat", "time", "last", "run",
+        F.coalesce("topic", "table").alias("table"), "depends_on", "delay", "repeat", "time", "last", "run",
         F.coalesce(F.col("processor"), F.lit("")).alias("processor"),
         F.coalesce(F.col("hostid"), F.lit("")).alias("hostid"))
 
@@ -102,15 +116,25 @@ def readiness(pipelines: DataFrame, positions: DataFrame, now) -> DataFrame:
     time ('H:MM-H:MM' or ''), last (timestamp), run (timestamp), processor, hostid.
     Ready when (a full block waits and no host holds the topic) or (the own position
     is behind the gate and `repeat` has passed), and inside the time window or more
-    than a day behind (D2, D23, D26).
+    than a day behind (D2, D23, D26).  A destination's shard (`table:i`) looks at the same
+    shard of its sources, a whole one at the slowest shard of each.
     """
     now_l = ts_lit(now)
     pl = (pipelines
           .withColumn("delay_s", time_delta_seconds("delay", 0))
           .withColumn("repeat_s", time_delta_seconds("repeat", 3600))
           .withColumn("dep", F.explode(F.transform(F.split("depends_on", ","), lambda x: F.trim(x)))))
-    cur = current_positions(positions).select(F.col("t").alias("dep"), F.col("last.pos").alias("dep_pos"))
+    cur = current_positions(positions, all_shards=True).select(
+        F.col("t").alias("dep"), F.col("last.pos").alias("dep_pos"), _shard("topic").alias("_dep_shard"))
     joined = pl.join(cur, "dep", "left")
+    # of a dependency, the own shard's and the unsharded row; all shards where there is neither
+    far = F.coalesce(~_near(F.col("_dep_shard"), _shard("table")), F.lit(False))
+    joined = joined.withColumn("_far", far).withColumn("_all", F.min("_far").over(Window.partitionBy("table", "dep")))
+    joined = joined.filter(F.col("_far") == F.col("_all"))
+    joined = joined.groupBy("table", "dep").agg(
+        *[F.first(c).alias(c) for c in ("last", "run", "processor", "hostid", "delay_s", "repeat_s", "time")],
+        # a shard without a position holds the whole back
+        F.when(F.count("dep_pos") == F.count(F.lit(1)), F.min("dep_pos")).alias("dep_pos"))
     g = joined.groupBy("table").agg(
         F.first("last").alias("last"), F.first("run").alias("run"), F.first("processor").alias("processor"),
         F.first("hostid").alias("hostid"), F.first("delay_s").alias("delay_s"),
@@ -154,8 +178,9 @@ def position_report(positions: DataFrame, now, tables: dict | None = None) -> Da
     cols = [F.col("topic"), F.col("last.pos").alias("last"), F.col("last.id").alias("last_id")]
     if "run" in cur.columns:
         cols.append(elapsed_seconds("run", now_l).alias("elapsed_s"))
-    if "rows" in cur.columns:
-        cols.append(F.col("rows"))
+    cols += [F.col(c) for c in ("rows", "processor", "state", "hostid") if c in cur.columns]
+    if "next" in cur.columns:
+        cols.append(F.col("next.pos").alias("next"))     # of an open block
     rep = out.withColumn("table", topic_parts("topic")["table"]).select(*cols, "table")
     if tables:
         rep = rep.join(table_writes(positions.sparkSession, tables), "table", "left")

@@ -35,13 +35,13 @@ def rollup_factor(df: DataFrame, ts: str, grains: list[str], dims: list[str], mi
 
 
 # merge rule per aggregate when partial rollups are combined
-MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "uniq": F.hll_union_agg}
 
 
 def refresh_rollup(mart: DataFrame, delta: DataFrame, keys: list[str], rules: dict) -> DataFrame:
     """M3: fold the rollup of a new block into the mart.
 
-    sum/min/max are mergeable, so mart and delta are combined by one grouping, in which
+    sum/min/max and stored distinct counts (`uniq`: sketches, `merge.uniq_state`) are mergeable, so mart and delta are combined by one grouping, in which
     a NULL dimension is a value like others.  For mutable facts, feed signed deltas
     (sum of sign * x) and they cancel the old contribution.
     """

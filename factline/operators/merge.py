@@ -80,19 +80,28 @@ def signed_agg(df: DataFrame, by: list[str], sums: dict, sign: str = "sign") ->
 
 
 def funnel(events: DataFrame, by: list[str] | str, step_col: str, ts: str, steps: list[str]) -> DataFrame:
-    """Per key, the first time of each step; a key reaches step i when its
-    first step-i time is later than its first step-(i-1) time.  Returns one row per
-    key with `t1..tn` and `reached` (number of steps in order)."""
+    """Per key, the times at which it goes through `steps` in order.
+
+    `t1` is the first time of step 1, `t(i)` the first time of step i after `t(i-1)`; steps may be
+    repeated before and between (click, view, click reaches view -> click).  Returns a row
+    per key that has any of the steps, with `t1..tn` and `reached`.
+
+    The fold over a key's events holds one time: step by step, the events of that step
+    meet the key's time so far and are aggregated (partially before the shuffle), so no
+    key's events are collected and a hot key's are split by the skew join.
+    """
     keys = [by] if isinstance(by, str) else list(by)
-    aggs = [F.min(F.when(F.col(step_col) == s, F.col(ts))).alias(f"t{i + 1}") for i, s in enumerate(steps)]
-    per = events.filter(F.col(step_col).isin(steps)).groupBy(*keys).agg(*aggs)
-    reached = F.when(F.col("t1").isNull(), F.lit(0))
-    ok = F.col("t1").isNotNull()
-    expr = F.lit(1)
-    for i in range(2, len(steps) + 1):
-        ok = ok & (F.col(f"t{i}") > F.col(f"t{i - 1}"))
-        expr = expr + F.when(ok, 1).otherwise(0)
-    return per.withColumn("reached", reached.otherwise(expr).cast("int"))
+    same = lambda a, b: [a[k].eqNullSafe(b[k]) for k in keys]
+    out = events.filter(F.col(step_col).isin(steps)).groupBy(*keys).agg(
+        F.min(F.when(F.col(step_col) == steps[0], F.col(ts))).alias("t1"))
+    for i, step in enumerate(steps[1:], 2):
+        before = out.filter(F.col(f"t{i - 1}").isNotNull()).select(*keys, F.col(f"t{i - 1}").alias("_before"))
+        seen = events.filter(F.col(step_col) == step).select(*keys, F.col(ts).alias("_ts"))
+        later = seen.join(before, same(seen, before)).filter(F.col("_ts") > F.col("_before")).select(
+            *[seen[k] for k in keys], "_ts").groupBy(*keys).agg(F.min("_ts").alias(f"t{i}"))
+        out = out.join(later, same(out, later), "left").select(*[out[c] for c in out.columns], f"t{i}")
+    reached = sum((F.col(f"t{i + 1}").isNotNull().cast("int") for i in range(len(steps))), F.lit(0))
+    return out.withColumn("reached", reached.cast("int"))
 
 
 def funnel_counts(per_key: DataFrame, steps: list[str]) -> DataFrame:
@@ -107,3 +116,18 @@ def uniq_count(df: DataFrame, by: list[str], col: str, exact: bool = True) -> Da
     """Distinct counts per group, exact or HyperLogLog++ (approx_count_distinct)."""
     f = F.countDistinct(col) if exact else F.approx_count_distinct(col)
     return df.groupBy(*by).agg(f.cast("bigint").alias("uniq"))
+
+
+def uniq_state(df: DataFrame, by: list[str], col: str, name: str = "uniq_state", lg_k: int = 12) -> DataFrame:
+    """A mergeable distinct count per group (an HLL sketch of at most 2^lg_k bytes), to be stored as a column."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(col, lg_k).alias(name))
+
+
+def merge_uniq(states: DataFrame, by: list[str], name: str = "uniq_state") -> DataFrame:
+    """Fold stored sketches: of blocks into a mart (M3), or of a fine grain into a coarse one."""
+    return states.groupBy(*by).agg(F.hll_union_agg(name).alias(name))
+
+
+def uniq_estimate(df: DataFrame, name: str = "uniq_state", out: str = "uniq") -> DataFrame:
+    """The counts that the sketches stand for (standard error about 1 / sqrt(2^lg_k))."""
+    return df.withColumn(out, F.hll_sketch_estimate(name)).drop(name)

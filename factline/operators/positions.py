@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import as_col, position, ts_lit
 
 DEFAULT_MAX_STEP = 1_000_000   # D1
+NULL_ID = -2**63               # a NULL id stands before all others at its position
 HIST_BUCKETS = 1024            # buckets per histogram pass
 EXACT_ROWS = 200_000           # rows ordered exactly in the last pass
 
@@ -78,12 +79,12 @@ def after(last: Position | None, pos="pos", id="id") -> Column:
 
 
 def at_or_before(nxt: Position | None, pos="pos", id="id") -> Column:
-    """(pos, id) <= next, pushdown-friendly."""
+    """(pos, id) <= next, pushdown-friendly; NULL ids come first at their position."""
     if nxt is None:
         return F.lit(True)
     p, i = as_col(pos), as_col(id)
     np_ = ts_lit(nxt.pos)
-    return (p <= np_) & ((p < np_) | (i <= F.lit(int(nxt.id))))
+    return (p <= np_) & ((p < np_) | (i <= F.lit(int(nxt.id))) | i.isNull())
 
 
 def block_filter(df: DataFrame, last: Position | None, nxt: Position | None,
@@ -100,6 +101,11 @@ def pending(df: DataFrame, last: Position | None, gate, pos: str = "pos", id: st
     return df.filter(cond)
 
 
+def _placed(df: DataFrame, pos: str, id: str) -> DataFrame:
+    """The position columns alone, with NULL ids in their place."""
+    return df.select(F.col(pos).alias("pos"), F.coalesce(F.col(id).cast("bigint"), F.lit(NULL_ID)).alias("id"))
+
+
 def block_of_edges(edges: list[Position], pos="pos", id="id") -> Column:
     """Number of the block (0-based) that a row of a group falls in, by a binary search in the sorted `edges`
     (the blocks' `next`): the number of edges before the row's position."""
@@ -108,7 +114,7 @@ def block_of_edges(edges: list[Position], pos="pos", id="id") -> Column:
         steps.insert(0, k)
         k *= 2
     table = F.array(*[e.lit() for e in edges])
-    at = F.struct(as_col(pos).alias("pos"), as_col(id).cast("bigint").alias("id"))
+    at = F.struct(as_col(pos).alias("pos"), F.coalesce(as_col(id).cast("bigint"), F.lit(NULL_ID)).alias("id"))
     before = lambda n: (n <= len(edges)) & (F.get(table, n - 1) < at)
     return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0),
                        lambda n, step: F.when(before(n + step), n + step).otherwise(n))
@@ -131,7 +137,7 @@ def kth_position(df: DataFrame, k: int, pos: str = "pos", id: str = "id",
     first; a single `pos` value with many rows (a hot tie) is then split by `id`.
     Once the bucket holds at most `exact_rows` rows they are ordered directly.
     """
-    cur = df.select(F.col(pos).alias("pos"), F.col(id).cast("bigint").alias("id"))
+    cur = _placed(df, pos, id)
     if count is None:
         count = cur.count()
     if k < 1 or k > count:
@@ -194,7 +200,7 @@ def _plan_from(pend: DataFrame, last: Position | None, max_step: int, exact_rows
 def next_block(df: DataFrame, last: Position | None, gate, max_step: int = DEFAULT_MAX_STEP,
                pos: str = "pos", id: str = "id", exact_rows: int = EXACT_ROWS) -> Block:
     """The first `max_step` pending rows by (pos, id)."""
-    pend = pending(df.select(F.col(pos).alias("pos"), F.col(id).cast("bigint").alias("id")), last, gate)
+    pend = pending(_placed(df, pos, id), last, gate)
     return _plan_from(pend, last, max_step, exact_rows)
 
 
@@ -205,7 +211,7 @@ def next_block_uniq(df: DataFrame, last: Position | None, gate, max_step: int =
     The per-id grouping is a shuffle; when more than one pass is needed it is
     checkpointed to the shared folder so the passes do not repeat it.
     """
-    pend = pending(df.select(F.col(pos).alias("pos"), F.col(id).cast("bigint").alias("id")), last, gate)
+    pend = pending(_placed(df, pos, id), last, gate)
     grouped = pend.groupBy("id").agg(F.max("pos").alias("pos")).select("pos", "id")
     st = grouped.agg(F.count(F.lit(1)).alias("n"), F.max(position("pos", "id")).alias("mx")).first()
     n = int(st["n"])
@@ -281,7 +287,7 @@ def plan_blocks(df: DataFrame, last: Position | None, gate, max_step: int, pos:
     and its `next` is the largest position among them.  Only one row per block
     reaches the driver.
     """
-    pend = pending(df.select(F.col(pos).alias("pos"), F.col(id).cast("bigint").alias("id")), last, gate)
+    pend = pending(_placed(df, pos, id), last, gate)
     if uniq:
         pend = pend.groupBy("id").agg(F.max("pos").alias("pos")).select("pos", "id")
     # rank only what the horizon needs: cut the backlog at the (horizon * max_step)-th position
@@ -313,15 +319,16 @@ def plan_blocks(df: DataFrame, last: Position | None, gate, max_step: int, pos:
 def source_position(df: DataFrame, pos: str = "pos", id: str = "id") -> Position | None:
     """Newest (pos, id) of a source.
 
-    Two small jobs: `max(pos)` (answered from Parquet footers when aggregate
-    pushdown is on), then `max(id)` among the rows at that pos (row groups pruned
-    by the equality filter).  No full sort, no struct aggregate over everything.
+    Two small jobs: `max(pos)`, which reads that one column, then `max(id)` among the
+    rows at that pos (row groups pruned by the equality filter).  No full sort, no struct
+    aggregate over everything.  Tables that this library loads need no scan: their
+    position is in the position log, streams included.
     """
     p = df.agg(F.max(pos).alias("p")).first()["p"]
     if p is None:
         return None
     i = df.filter(F.col(pos) == ts_lit(p)).agg(F.max(F.col(id).cast("bigint")).alias("i")).first()["i"]
-    return Position(p, int(i))
+    return Position(p, int(i) if i is not None else NULL_ID)
 
 
 def shard_filter(df: DataFrame, key, n: int, i: int, hash_key: bool = False) -> DataFrame:

@@ -68,23 +68,47 @@ def collapse_latest(df: DataFrame, keys: list[str], order: list[str], sign: str
 
 
 def apply_changes(state: DataFrame | None, changes: DataFrame, keys: list[str], order: list[str],
-                  op: str, deletes: list[str], columns: list[str] | None = None) -> DataFrame:
+                  op: str, deletes: list[str], columns: list[str] | None = None,
+                  tombstone: str | None = None) -> DataFrame:
     """K5: fold insert/update/delete events into the current state.
 
     The newest event per key decides (W1): a delete removes the key, anything
     else replaces the row.  Keys without events keep their state row, and so do keys
     whose state is newer than their events (a batch delivered late).  A state without
-    the order columns can't tell, and a key that was deleted has no version left: to
-    order late events after a delete, keep deletes as rows and filter them on read.
+    the order columns can't tell.
+
+    With `tombstone` (a column name), a delete stays in the state as a version: a row with
+    its keys and order, that column true and all else NULL.  A late event of a deleted key
+    then finds a newer version and changes nothing.  Read the state through `alive`;
+    `drop_tombstones` removes those behind the retention horizon.
     """
     newest = latest(changes, keys, order)
     cols = columns or [c for c in changes.columns if c != op]
+    gone = F.col(op).isin(deletes)
+    if tombstone:
+        held = {*keys, *[c for c in order if isinstance(c, str)]}
+        newest = newest.select(op, *keys, *[c for c in order if isinstance(c, str) and c not in cols],
+                               *[(F.col(c) if c in held else F.when(~gone, F.col(c))).alias(c) for c in cols if c not in keys],
+                               F.coalesce(gone, F.lit(False)).alias(tombstone))
+        cols = [*cols, *[c for c in order if isinstance(c, str) and c not in cols], tombstone]
+    else:
+        newest = newest.withColumn("_gone", gone)
+    if state is not None:
+        newest = newest.join(_newer_keys(state, newest, keys, order), keys, "left_anti")
+    written = newest.select(*cols) if tombstone else newest.filter(~F.col("_gone")).select(*cols)
     if state is None:
-        return newest.filter(~F.col(op).isin(deletes)).select(*cols)
-    newest = newest.join(_newer_keys(state, newest, keys, order), keys, "left_anti")
-    upserts = newest.filter(~F.col(op).isin(deletes)).select(*cols)
-    untouched = state.join(newest.select(*keys), keys, "left_anti").select(*cols)
-    return untouched.unionByName(upserts)
+        return written
+    return state.join(newest.select(*keys), keys, "left_anti").select(*cols).unionByName(written)
+
+
+def alive(state: DataFrame, tombstone: str) -> DataFrame:
+    """K5: the state's rows without its deleted keys."""
+    return state.filter(~F.col(tombstone)).drop(tombstone)
+
+
+def drop_tombstones(state: DataFrame, tombstone: str, ts: str, horizon) -> DataFrame:
+    """K5, K6: forget deletes older than `horizon`, the age beyond which no event is delivered."""
+    return state.filter(~(F.col(tombstone) & (F.col(ts) < ts_lit(horizon))))
 
 
 def files_per_partition(df: DataFrame, partition_by: list[str]) -> DataFrame:

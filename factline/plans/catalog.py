@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog_aggs, catalog_blocks, catalog_joins, catalog_loads, catalog_stage  # noqa: F401
+from . import catalog_aggs, catalog_blocks, catalog_commits, catalog_joins, catalog_loads, catalog_stage  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 

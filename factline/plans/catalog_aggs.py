@@ -156,15 +156,12 @@ FUNNEL_STEPS = ["view", "click", "purchase"]
 
 
 @register("funnel", """
-WITH p AS (
-  SELECT user_id,
-         min(ts) FILTER (WHERE event_type = 'view') AS t1,
-         min(ts) FILTER (WHERE event_type = 'click') AS t2,
-         min(ts) FILTER (WHERE event_type = 'purchase') AS t3
-  FROM events GROUP BY user_id)
-SELECT 1 AS step, 'view' AS step_name, count(t1) AS users FROM p
-UNION ALL SELECT 2, 'click', count(*) FILTER (WHERE t1 < t2) FROM p
-UNION ALL SELECT 3, 'purchase', count(*) FILTER (WHERE t1 < t2 AND t2 < t3) FROM p
+WITH p1 AS (SELECT user_id, min(ts) AS t1 FROM events WHERE event_type = 'view' GROUP BY user_id),
+p2 AS (SELECT e.user_id, min(ts) AS t2 FROM events e JOIN p1 ON e.user_id = p1.user_id AND ts > t1 WHERE event_type = 'click' GROUP BY e.user_id),
+p3 AS (SELECT e.user_id, min(ts) AS t3 FROM events e JOIN p2 ON e.user_id = p2.user_id AND ts > t2 WHERE event_type = 'purchase' GROUP BY e.user_id)
+SELECT 1 AS step, 'view' AS step_name, (SELECT count(*) FROM p1) AS users
+UNION ALL SELECT 2, 'click', (SELECT count(*) FROM p2)
+UNION ALL SELECT 3, 'purchase', (SELECT count(*) FROM p3)
 """)
 def q_funnel(spark, sf):
     per_user = funnel(table(spark, sf, "events"), "user_id", "event_type", "ts", FUNNEL_STEPS)

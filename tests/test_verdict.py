@@ -98,3 +98,82 @@ def test_watermark_gate_reads_all_weeks(spark, tmp):
             for k in ("view", "error"):
                 want[day, k] = want.get((day, k), 0) + 1
     assert {(r.window_start, r.source): r.n for r in q_watermark_gate(spark, tmp).collect()} == want
+
+
+def test_funnel_with_repeated_and_out_of_order_steps(spark):
+    from factline.operators.merge import funnel
+    t = lambda n: D(2024, 1, 1, 0, n)
+    ev = [("a", "click", 1), ("a", "view", 2), ("a", "click", 3), ("b", "view", 1), ("b", "view", 5), ("b", "click", 5), ("b", "buy", 6),
+          ("c", "buy", 1), ("c", "click", 2), (None, "view", 1), (None, "click", 2), (None, "buy", 3), ("d", "other", 1), ("e", "view", 4), ("e", "click", 4)]
+    df = spark.createDataFrame([(k, s, t(n)) for k, s, n in ev], "u string, step string, ts timestamp_ntz")
+    got = {r.u: (r.reached, r.t1 and r.t1.minute, r.t2 and r.t2.minute, r.t3 and r.t3.minute) for r in funnel(df, "u", "step", "ts", ["view", "click", "buy"]).collect()}
+    assert got == {"a": (2, 2, 3, None), "b": (3, 1, 5, 6), "c": (0, None, None, None), None: (3, 1, 2, 3), "e": (1, 4, None, None)}
+
+
+def test_late_update_after_a_delete_stays_deleted(spark):
+    from factline.operators.upsert import alive, drop_tombstones
+    schema = "k int, ts timestamp_ntz, v string, op string"
+    t = lambda n: D(2024, 1, n)
+    fold = lambda s, rows: apply_changes(s, spark.createDataFrame(rows, schema), ["k"], ["ts"], "op", ["d"], tombstone="gone")
+    state = fold(None, [(1, t(1), "a", "u"), (2, t(1), "b", "u")])
+    state = fold(state, [(1, t(5), "x", "d"), (3, t(9), "y", "d")])
+    state = fold(state, [(1, t(3), "late", "u"), (3, t(8), "late", "u"), (2, t(2), "new", "u")])
+    assert rows(alive(state, "gone")) == [(2, t(2), "new")]
+    assert rows(drop_tombstones(state, "gone", "ts", t(7)).select("k")) == [(2,), (3,)]
+    assert rows(alive(fold(state, [(1, t(6), "back", "u")]), "gone")) == [(1, t(6), "back"), (2, t(2), "new")]
+
+
+def test_null_ids_stand_first_at_their_position(spark):
+    from factline.operators.positions import block_filter, plan_blocks
+    data = [(D(2024, 1, 1 + i // 4), None if i % 4 == 0 else i - 6, i) for i in range(16)]
+    df = spark.createDataFrame(data, "pos timestamp_ntz, id bigint, n int")
+    last, seen = None, []
+    for b in plan_blocks(df, None, D(2025, 1, 1), 5, "pos", "id"):
+        part = [r.n for r in block_filter(df, last, b.next, "pos", "id").collect()]
+        assert len(part) == b.rows and b == next_block(df, last, D(2025, 1, 1), 5, "pos", "id", exact_rows=2)
+        seen, last = seen + part, b.next
+    assert sorted(seen) == list(range(16))
+
+
+def test_block_of_edges_equals_a_scan(spark):
+    from factline.operators.positions import block_of_edges
+    edges = [Position(D(2024, 1, 1 + i // 3), 10 * (i % 3)) for i in range(23)]
+    data = [(D(2024, 1, 1 + d), i) for d in range(9) for i in (-3, 0, 1, 9, 10, 11, 20, 25)]
+    df = spark.createDataFrame(data, "pos timestamp_ntz, id bigint")
+    for some in (edges, edges[:1], edges[:8]):
+        got = {(r.pos, r.id): r.n for r in df.withColumn("n", block_of_edges(some)).collect()}
+        assert got == {p: sum(e < Position(*p) for e in some) for p in data}
+
+
+def test_sharded_readiness_and_gates(spark):
+    from factline.operators.gate import pipelines_from, readiness
+    schema = "topic string, last struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, seq bigint, processor string, hostid string"
+    t, now = lambda n: D(2024, 1, n), D(2024, 2, 1)
+    pos = spark.createDataFrame([
+        ("src:0", (t(5), 0), t(5), 0, "Step", ""), ("src:1", (t(20), 0), t(20), 0, "Step", ""), ("plain", (t(9), 0), t(9), 0, "Step", ""),
+        ("dst:0", (t(6), 0), t(6), 0, "Step", ""), ("dst:1", (t(6), 0), t(6), 0, "Step", ""), ("all", (t(7), 0), t(7), 0, "Step", "")], schema)
+    assert dep_gate(pos, ["src"], 0, now) == (t(5), "src")
+    assert dep_gate(pos, ["src"], 0, now, shard="1") == (t(20), "src")
+    assert dep_gate(pos, ["src", "plain"], 0, now, shard="1") == (t(9), "plain")
+    assert dep_gate(pos, ["src"], 0, now, shard="7") == (t(5), "src")
+    lineage = spark.createDataFrame([(n, "src", "", "", "") for n in ("dst", "all", "new")], "table string, depends_on string, delay string, repeat string, time string")
+    got = {r.table: (r.gate, r.ready) for r in readiness(pipelines_from(lineage, pos), pos, now).collect()}
+    assert got == {"dst:0": (t(5), False), "dst:1": (t(20), True), "all": (t(5), False), "new": (t(5), True)}
+
+
+def test_stored_distinct_counts_refresh_equals_rebuild(spark):
+    from factline.operators.merge import merge_uniq, uniq_estimate, uniq_state
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 7000).alias("u"))
+    parts = [uniq_state(df.filter(F.col("u") % 2 == i), ["g"], "u") for i in range(2)]
+    merged = uniq_estimate(merge_uniq(parts[0].unionByName(parts[1]), ["g"]))
+    assert rows(merged) == rows(uniq_estimate(uniq_state(df, ["g"], "u")))
+    assert all(abs(r.uniq - 6667) < 0.065 * 6667 or abs(r.uniq - 7000) < 0.065 * 7000 for r in merged.collect())
+
+
+def test_rank_plan_has_no_python(spark):
+    from factline.operators.positions import rank_rows
+    df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("x"), F.lit(1).alias("parent"))
+    ranked = rank_rows(df, ["parent", "x"], partitions=7)
+    assert "Python" not in ranked._jdf.queryExecution().toString() and "Pandas" not in ranked._jdf.queryExecution().toString()
+    assert [r.row_rank for r in ranked.orderBy("x").collect()] == list(range(1000))
+    assert len({r.p for r in ranked.select(F.spark_partition_id().alias("p")).distinct().collect()}) > 3    # one hot parent, many tasks
