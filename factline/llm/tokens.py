@@ -17,10 +17,12 @@ import base64
 import hashlib
 import sys
 from array import array
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,11 +54,11 @@ class Tokenizer:
     a run of white space that offers no such place is cut every ``most`` characters, which the ids' decoding doesn't show.
     """
 
-    def __init__(self, path: str, piece: int = 1 << 18, most: int = 1 << 19):
+    def __init__(self, source: str | bytes, piece: int = 1 << 18, most: int = 1 << 19):
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        lines = (Path(source).read_bytes() if isinstance(source, str) else source).splitlines()
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.piece, self.most = piece, most
 
@@ -83,14 +85,21 @@ class Tokenizer:
         return self.encoding.decode_bytes([int(i) for i in ids]).decode("utf-8")
 
 
-_loaded: dict[str, Tokenizer] = {}
+_loaded: dict[str | bytes, Tokenizer] = {}
 
 
-def tokenizer(path: str) -> Tokenizer:
-    """One per worker process."""
-    if path not in _loaded:
-        _loaded[path] = Tokenizer(path)
-    return _loaded[path]
+def tokenizer(source: str | bytes) -> Tokenizer:
+    """One per worker process, from the path or the contents of a vocabulary file."""
+    if source not in _loaded:
+        _loaded[source] = Tokenizer(source)
+    return _loaded[source]
+
+
+def vocabulary(spark, path: str) -> Broadcast:
+    """The vocabulary file (a few MB), read on the driver and sent to the executors, which need no copy of their own."""
+    if "://" in path:
+        return spark.sparkContext.broadcast(bytes(spark.read.format("binaryFile").load(path).first()["content"]))
+    return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
 def half_bits(n: int) -> int:
@@ -124,11 +133,11 @@ def _sequences(ids: bytes, length: int) -> list[bytes]:
     return [ids[i:i + width] for i in range(0, len(ids), width)]
 
 
-def count_tokens(rows: DataFrame, path: str) -> DataFrame:
+def count_tokens(rows: DataFrame, sent: Broadcast) -> DataFrame:
     """(_row, n) with n the text's ids, END_OF_TEXT included."""
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
-        t = tokenizer(path)
+        t = tokenizer(sent.value)
         return pd.Series([t.count(x or "") + 1 for x in texts], dtype="int64")
 
     return rows.select("_row", count("text").alias("n"))
@@ -156,11 +165,12 @@ def write_shards(docs: DataFrame, path: str, length: int = 256, per_shard: int =
     spark = docs.sparkSession
     doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     rows = with_row_id(docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text")))
-    starts, total = _starts(count_tokens(rows, tokenizer_path), length)
+    words = vocabulary(spark, tokenizer_path)
+    starts, total = _starts(count_tokens(rows, words), length)
     sent = spark.sparkContext.broadcast(starts)  # one number per scan partition
 
     def emit(batches):
-        t, at = tokenizer(tokenizer_path), None
+        t, at = tokenizer(words.value), None
         for pdf in batches:
             if at is None and len(pdf):
                 at = sent.value[int(pdf["_row"].iloc[0]) >> 33]
@@ -174,31 +184,37 @@ def write_shards(docs: DataFrame, path: str, length: int = 256, per_shard: int =
                 yield pd.DataFrame({"slot": slots, "record": records})
 
     sequences = rows.mapInPandas(emit, "slot long, record binary").withColumn("shard", F.expr(f"slot div {per_shard}"))
-    ordered = sequences.repartition(max(1, -(-total // per_shard)), "shard").sortWithinPartitions("shard", "slot")
+    # the slots are 0..total-1, so the bounds of the ranges are known: partition k gets those of shard k, and one task writes one shard
+    ordered = sequences.repartitionById(max(1, -(-total // per_shard)), F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
     ordered.select(F.col("record").cast("string").alias("value"), "shard").write.partitionBy("shard").text(path)
     return total
 
 
-def read_shards(spark, path: str, length: int = 256, per_shard: int = 1 << 14, with_ids: bool = True) -> DataFrame:
-    """One row per record of the shards below ``path``: doc_id, seq, slot, shard, byte_offset, n_tokens, tokens_sha256, and ids if asked for."""
+def read_shards(spark, path: str, length: int = 256, per_shard: int = 1 << 14, with_ids: bool = True, from_slot: int = 0) -> DataFrame:
+    """One row per record of the shards below ``path``: doc_id, seq, slot, shard, byte_offset, n_tokens, tokens_sha256, and ids if asked for.
+
+    Reading goes on at ``from_slot``: the shards before its own aren't opened, and the records before it are skipped by the stride.
+    """
     stride = record_stride(length)
 
     def parse(batches):
         for pdf in batches:
             for shard, blob in zip(pdf["shard"], pdf["content"]):
-                table = np.frombuffer(blob, np.uint8).reshape(-1, stride)
+                skip = max(0, from_slot - shard * per_shard)
+                table = np.frombuffer(blob, np.uint8).reshape(-1, stride)[skip:]
+                if not len(table):
+                    continue
                 ids = np.ascontiguousarray(table[:, 12:12 + 2 * length]).view("<u2")
                 used = np.where((ids == END_OF_TEXT).any(axis=1), (ids == END_OF_TEXT).argmax(axis=1) + 1, length)
                 tokens = [x[:n].tobytes() for x, n in zip(ids, used)]
                 found = pd.DataFrame({
                     "doc_id": np.ascontiguousarray(table[:, :8]).view("<i8").ravel(), "seq": np.ascontiguousarray(table[:, 8:12]).view("<u4").ravel().astype(np.int64),
-                    "slot": shard * per_shard + np.arange(len(table)), "shard": shard, "byte_offset": np.arange(len(table)) * stride,
+                    "slot": shard * per_shard + skip + np.arange(len(table)), "shard": shard, "byte_offset": (skip + np.arange(len(table))) * stride,
                     "n_tokens": used.astype(np.int64), "tokens_sha256": [hashlib.sha256(t).hexdigest() for t in tokens]})
                 yield found.assign(ids=tokens) if with_ids else found
 
     kind = _KIND + ", ids binary" * with_ids
-    files = spark.read.format("binaryFile").load(f"{path}/shard=*").select(
-        F.regexp_extract("path", "shard=([0-9]+)", 1).cast("long").alias("shard"), "content")
+    files = spark.read.format("binaryFile").load(path).filter(F.col("shard") >= from_slot // per_shard).select(F.col("shard").cast("long"), "content")
     return files.mapInPandas(parse, kind).withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 

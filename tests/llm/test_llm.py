@@ -456,6 +456,44 @@ def test_components(spark):
     assert got == {i: 0 for i in range(1, 31)} | {i: 100 for i in range(101, 120)} | {201: 200}
 
 
+def test_shards_are_read_from_any_slot(spark, docs, tmp):
+    path, stride = tmp + "/shards", tokens.record_stride(16)
+    every = {r.slot: tuple(r) for r in tokens.training_order(docs, path, length=16, per_shard=32).collect()}
+    for slot in (0, 31, 32, 77, len(every) - 1, len(every)):
+        rest = tokens.read_shards(spark, path, 16, 32, from_slot=slot)
+        assert {r.slot: tuple(r) for r in rest.collect()} == {k: v for k, v in every.items() if k >= slot}
+        assert all(int(f.split("shard=")[1].split("/")[0]) >= slot // 32 for r in rest.select("shard").distinct().collect() for f in [f"shard={r.shard}/"])
+    # each shard is one file of fixed stride
+    import pathlib
+    files = sorted(pathlib.Path(path).glob("shard=*/part-*"))
+    assert len(files) == -(-len(every) // 32) and sum(f.stat().st_size for f in files) == stride * len(every)
+
+
+def test_slots_are_the_permutation_of_the_sequences(spark, docs, tmp):
+    """Every sequence's slot from an independent walk of the permutation, numbered in the table's order."""
+    got = tokens.training_order(docs, tmp + "/s", length=16, per_shard=32, key=9).collect()
+    total, half = len(got), tokens.half_bits(len(got))
+    keys = [int.from_bytes(hashlib.sha256(f"9:{r}".encode()).digest()[:8], "little") for r in range(4)]
+
+    def walk(x):
+        while True:
+            left, right = x >> half, x & ((1 << half) - 1)
+            for k in keys:
+                f = (right + k) * 0x9E3779B97F4A7C15 % 2**64
+                f = (f ^ f >> 29) * 0xBF58476D1CE4E5B9 % 2**64
+                left, right = right, left ^ ((f ^ f >> 32) & ((1 << half) - 1))
+            x = left << half | right
+            if x < total:
+                return x
+
+    t = tokens.tokenizer(tokens.TOKENIZER)
+    numbers = []
+    for r in docs.withColumn("_at", F.monotonically_increasing_id()).orderBy("_at").collect():
+        n = -(-(t.count(r.text or "") + 1) // 16)
+        numbers += [(r.doc_id, k) for k in range(n)]
+    assert sorted((walk(i), *x) for i, x in enumerate(numbers)) == sorted(((r.slot, r.doc_id, r.seq) for r in got), key=lambda x: x[0])
+
+
 def test_feistel():
     for n in (1, 2, 3, 10, 257, 5000):
         assert sorted(tokens.feistel(np.arange(n), n, 9)) == list(range(n))
