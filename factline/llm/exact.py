@@ -47,7 +47,8 @@ def name_blocks(heads: DataFrame, texts: DataFrame, hash_bits: int = 64) -> Data
     places = heads.select("_row", F.size("hashes").alias("_n"), F.posexplode("hashes").alias("_ix", "h"))
     blocks = texts.select(F.explode("_blocks").alias("block")).select(_block_hash(F.col("block"), hash_bits).alias("h"), "block")
     names = cut(_named(blocks, ["h", "block"]).select("h", "name"), "exact-names")
-    per_hash = names.groupBy("h").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("n"))
+    # written, so that the join reads both sides from a shuffle and splits a block that many texts share
+    per_hash = cut(names.groupBy("h").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("n")), "exact-hashes")
     clashes = per_hash.filter("n > 1").select("h")
     found = places.join(per_hash.filter("n = 1").select("h", "name"), "h").select("_row", "_ix", "_n", "name")
     if clashes.isEmpty():
@@ -73,7 +74,8 @@ def identities(heads: DataFrame, texts: DataFrame, hash_bits: int = 64) -> DataF
             F.max(F.when(F.col("_ix") % 2 == 0, F.col("name"))).alias("left"),
             F.coalesce(F.max(F.when(F.col("_ix") % 2 == 1, F.col("name"))), F.lit(NO_NAME)).alias("right"))
         pairs = cut(pairs, "exact-pairs")
-        names = cut(pairs.join(_named(pairs, ["left", "right"]), ["left", "right"]).select("_row", "_ix", "_n", "name"), "exact-level")
+        named = cut(_named(pairs, ["left", "right"]), "exact-named")
+        names = cut(pairs.join(named, ["left", "right"]).select("_row", "_ix", "_n", "name"), "exact-level")
         level += 1
 
 
