@@ -82,11 +82,12 @@ def rate_report(log: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def last_run(log: DataFrame, topic: str, now, within_s: int = 3600) -> DataFrame:
-    """Q5: rows, newest ts and merged counters of the newest run of a topic within the hour."""
+    """Q5: rows, newest ts, merged counters and seconds since the newest run of a topic within the hour."""
     recent = log.filter((F.col("topic") == topic) & (F.col("ts") > ts_lit(now - _dt.timedelta(seconds=within_s))))
     per_run = recent.groupBy("run_id").agg(
         F.sum("rows").alias("rows"), F.max("max_ts").alias("max_ts"), F.max("ts").alias("ts"))
     nulls = sum_map(recent.select("run_id", "nulls"), ["run_id"], "nulls")
+    per_run = per_run.withColumn("elapsed_s", elapsed_seconds("ts", ts_lit(now)))
     return per_run.join(nulls, "run_id", "left").orderBy(F.col("ts").desc(), F.col("run_id").desc()).limit(1)
 
 

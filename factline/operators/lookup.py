@@ -1,9 +1,8 @@
 """Joins and lookups.
 
-Broadcasts are either left to Spark (static size estimate under
+Broadcasts are left to Spark: a static size estimate under
 `spark.sql.autoBroadcastJoinThreshold`, then AQE's runtime re-plan from the real
-shuffle size) or hinted only where the side has a bound known in advance, e.g. the
-keys of one block, which never exceed `max_step` rows (`broadcast_if_bounded`).
+shuffle size.
 """
 
 from __future__ import annotations
@@ -15,28 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
 
-# Rough bytes per value, used to bound the size of a side whose row count is known.
-_TYPE_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
-               "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
-_STRING_BYTES = 64
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _row_bytes(df: DataFrame) -> int:
-    total = 0
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        total += _TYPE_BYTES.get(t, 16 if t.startswith("decimal") else _STRING_BYTES)
-    return total + 8
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when `max_rows` (a proven bound) times the row width fits."""
-    if max_rows is not None and max_rows * _row_bytes(df) <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def latest(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Newest row per key (`ORDER BY order DESC LIMIT 1 BY keys`).
 
@@ -105,7 +82,7 @@ def first_rows(block: DataFrame, keys: list[str], order: list | None = None) ->
     return keyed.unionByName(block.filter(~known))
 
 
-def new_rows(block: DataFrame, fact: DataFrame | None, keys: list[str], max_block_rows: int | None = None,
+def new_rows(block: DataFrame, fact: DataFrame | None, keys: list[str],
              prune: dict | None = None, order: list | None = None) -> DataFrame:
     """L3: rows of the block whose keys the fact does not hold yet, one per key (`first_rows`),
     so that the fact does not depend on where blocks end.
@@ -151,10 +128,9 @@ def build_fact(block: DataFrame, joins: Iterable[tuple]) -> DataFrame:
     return out
 
 
-def prefilter_in(right: DataFrame, left: DataFrame, keys: list[str], max_left_rows: int | None = None) -> DataFrame:
+def prefilter_in(right: DataFrame, left: DataFrame, keys: list[str]) -> DataFrame:
     """Keep right rows whose keys occur on the left (IN-list precomputed)."""
-    lk = left.select(*keys).distinct()
-    return right.join(broadcast_if_bounded(lk, max_left_rows), keys, "left_semi")
+    return right.join(left.select(*keys).distinct(), keys, "left_semi")
 
 
 def prefilter_range(right: DataFrame, left: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
@@ -170,12 +146,23 @@ def prefilter_range(right: DataFrame, left: DataFrame, key: str, right_key: str
     return right.filter((F.col(rk) >= F.lit(st["lo"])) & (F.col(rk) <= F.lit(st["hi"])))
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: list[str], buckets: int) -> DataFrame:
+def write_bucketed(df: DataFrame, table: str, path: str, key: list[str], buckets: int | None = None,
+                   keep: bool = True) -> DataFrame:
     """Write a table bucketed and sorted on the join key so later joins on it
-    need no exchange.  Returns the table read back."""
-    (df.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+    need no exchange.  Returns the table read back.
+
+    Both sides of a join need the same number of buckets, by default that of the
+    session's shuffle partitions.  With `keep=False` the catalog entry goes at once; the
+    returned DataFrame and its files below `path` stay.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("overwrite").bucketBy(n, *key).sortBy(*key)
      .option("path", path).saveAsTable(table))
-    return df.sparkSession.table(table)
+    out = spark.table(table)
+    if not keep:
+        spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def repair_missing(fact: DataFrame, dim: DataFrame, on: list[tuple] | list[str], attrs: list[str]) -> DataFrame:

@@ -19,13 +19,13 @@ def replace_latest(fact: DataFrame, new: DataFrame, keys: list[str], order: list
                    partition_by: list[str] | None = None) -> DataFrame:
     """K2: newest version per key wins (ReplacingMergeTree + FINAL).
 
-    With `partition_by`, only fact partitions that `new` touches are read and
-    returned; the caller rewrites just those partitions.
+    With `partition_by`, only fact partitions that `new` touches (the NULL partition is one
+    like others) are read and returned; the caller rewrites just those partitions.
     """
     cols = fact.columns
     if partition_by:
-        touched = new.select(*partition_by).distinct()
-        fact = fact.join(touched, partition_by, "left_semi")
+        touched = new.select(*[F.col(c).alias(f"_{c}") for c in partition_by]).distinct()
+        fact = fact.join(touched, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by], "left_semi")
     return latest(fact.unionByName(new.select(*cols)), keys, order)
 
 

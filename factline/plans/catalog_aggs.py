@@ -49,6 +49,16 @@ def q_replace_latest(spark, sf):
     return latest(state, LI_KEY, LI_VERSION)
 
 
+# ------------------------------------------------------------------ replace_partitions (K2 by partition, NULL among them)
+@register("replace_partitions", LATEST_LI_SQL.replace("FROM lineitem)", "FROM lineitem WHERE l_orderkey % 7 IN (1, 3))"))
+def q_replace_partitions(spark, sf):
+    part = F.when(F.col("l_orderkey") % 7 != 3, F.col("l_orderkey") % 7)     # one partition is NULL
+    li = li_cols(table(spark, sf, "lineitem")).withColumn("part", part)
+    new = _ship_between(li, D(1998, 1, 1), None).filter("part = 1 OR part IS NULL")
+    touched = replace_latest(_ship_between(li, None, D(1998, 1, 1)), new, LI_KEY, LI_VERSION, partition_by=["part"])
+    return touched.drop("part")
+
+
 # ------------------------------------------------------------------ apply_changes (K5)
 @register("apply_changes", """
 SELECT user_id, event_type, ts, value FROM (
@@ -309,7 +319,7 @@ WITH d AS (
          CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) AS ts,
          count(*) FILTER (WHERE event_type = 'error') AS error, count(*) FILTER (WHERE value < 5) AS low_value
   FROM events GROUP BY ALL)
-SELECT run_id, rows, max_ts, ts,
+SELECT run_id, rows, max_ts, ts, date_sub('second', ts, TIMESTAMP '2024-01-31 00:00:00') AS elapsed_s,
        concat_ws(',', CASE WHEN error > 0 THEN 'error=' || error END,
                       CASE WHEN low_value > 0 THEN 'low_value=' || low_value END) AS nulls
 FROM d WHERE ts > TIMESTAMP '2024-01-28 00:00:00' AND ts <= TIMESTAMP '2024-01-31 00:00:00'
@@ -323,7 +333,7 @@ def q_last_run(spark, sf):
         .withColumn("run_id", F.concat(F.lit("day-"), F.date_format("day", "yyyyMMdd"))) \
         .filter(F.col("ts") <= ts_lit(ES_NOW))
     r = last_run(log, "events", ES_NOW, within_s=3 * 86400)
-    return r.select("run_id", "rows", "max_ts", "ts", _map_text("nulls").alias("nulls"))
+    return r.select("run_id", "rows", "max_ts", "ts", "elapsed_s", _map_text("nulls").alias("nulls"))
 
 
 # ------------------------------------------------------------------ check (Q6)

@@ -250,10 +250,10 @@ def q_bucket_join(spark, sf):
     root = work_dir(spark, "bucket_join")
     tag = root.rsplit("-", 1)[-1]
     o = write_bucketed(table(spark, sf, "orders").select("o_orderkey"), f"fl_orders_{tag}", f"{root}/orders",
-                       ["o_orderkey"], 8)
+                       ["o_orderkey"], keep=False)
     li = write_bucketed(table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice"), f"fl_lineitem_{tag}", f"{root}/lineitem",
-        ["o_orderkey"], 8)
+        ["o_orderkey"], keep=False)
     # both sides are large facts in the intended use: keep the sort-merge join, which the
     # shared bucketing serves without any exchange (a broadcast would hide that at small scale)
     return o.hint("merge").join(li, "o_orderkey").groupBy("o_orderkey").agg(

@@ -198,6 +198,16 @@ def q_topic_parts(spark, sf):
     return t.select("topic", p["table"].alias("table"), p["tag"].alias("tag"), p["shard"].alias("shard"))
 
 
+# ------------------------------------------------------------------ stamp_hash (S1 by a hash of the key)
+@register("stamp_hash", """
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids, TIMESTAMP '2024-02-01 00:00:00' AS pos FROM events GROUP BY event_type
+""")
+def q_stamp_hash(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    return stamp(ev, D(2024, 2, 1), key=["event_id"]).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"), F.max("pos").alias("pos"))
+
+
 # ------------------------------------------------------------------ stamp_rows
 @register("stamp_rows", """
 SELECT event_id, TIMESTAMP '2024-02-01 00:00:00' AS pos, row_number() OVER (ORDER BY ts, event_id) AS id FROM events

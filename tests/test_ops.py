@@ -148,3 +148,28 @@ def test_sql_transform(spark):
     dim = spark.createDataFrame([(1, "a")], "k int, name string")
     t = sql_transform("SELECT b.k, b.v, d.name FROM {block} b LEFT JOIN {dim} d ON b.k = d.k", dim=dim)
     assert sorted(tuple(r) for r in t(block).collect()) == [(1, 10, "a"), (2, 20, None)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_layouts_show_in_plans_and_files(spark, tmp):
+    """What the same rows do not show: J4 joins without an exchange, J3 pushes the range, J2 a semi join, M4 files that don't overlap."""
+    from factline.operators.lookup import prefilter_in, prefilter_range, write_bucketed
+    from factline.operators.mart import recluster
+    big = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 7919 % 20_011).alias("v"))
+    a, b = (write_bucketed(big, f"fl_layout_{n}", f"{tmp}/{n}", ["k"], 4, keep=False) for n in "ab")
+    joined = a.hint("merge").join(b.withColumnRenamed("v", "w"), "k")
+    assert "Exchange" not in plan(joined) and joined.count() == 20_000
+    assert not spark.catalog.tableExists("fl_layout_a")
+    big.repartition(5).write.parquet(f"{tmp}/big")
+    stored = spark.read.parquet(f"{tmp}/big")
+    few = stored.filter("v < 10")
+    assert "GreaterThanOrEqual(v" in plan(prefilter_range(stored, few, "v"))
+    assert "LeftSemi" in plan(prefilter_in(stored, few, ["v"]))
+    ranges = lambda p: sorted((r.lo, r.hi) for r in spark.read.parquet(p).groupBy("_metadata.file_path").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+    recluster(stored, ["v"], 5).write.parquet(f"{tmp}/by_v")
+    before, after = ranges(f"{tmp}/big"), ranges(f"{tmp}/by_v")
+    assert len(after) >= 3 and all(x[1] < y[0] for x, y in zip(after, after[1:])) and any(x[1] >= y[0] for x, y in zip(before, before[1:]))
