@@ -322,7 +322,8 @@ def source_position(df: DataFrame, pos: str = "pos", id: str = "id") -> Position
     Two small jobs: `max(pos)`, which reads that one column, then `max(id)` among the
     rows at that pos (row groups pruned by the equality filter).  No full sort, no struct
     aggregate over everything.  Tables that this library loads need no scan: their
-    position is in the position log, streams included.
+    position is in the position log, streams included; nor do Parquet sources whose files
+    are kept in `sources.files.FilePositions`.
     """
     p = df.agg(F.max(pos).alias("p")).first()["p"]
     if p is None:

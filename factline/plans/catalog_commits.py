@@ -1,5 +1,5 @@
 """Catalogue: what commit rows decide (K1, B8, K6, K8), positions of shards and streams (B10, G1, G3, P6), the
-worked fact (J1, L1, L3, section 2.11), deletes as versions (K5), stored distinct counts (A15, M3), funnels by
+worked fact (J1, L1, L3, section 2.11), positions kept per file (B11), deletes as versions (K5), stored distinct counts (A15, M3), funnels by
 several columns (A14)."""
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from ..operators.merge import funnel, funnel_counts, merge_uniq, uniq_estimate,
 from ..operators.positions import Position
 from ..operators.upsert import alive, apply_changes, drop_tombstones
 from ..session import work_dir
+from ..sources.files import FilePositions
 from ..streaming.stream import file_stream, stream_load
 from .load import (PositionStore, Target, compact_blocks, drain_planned, load_step, read_fact, retain_partitions,
                    sql_transform)
@@ -198,6 +199,48 @@ def q_transaction_log(spark, sf):
                          F.coalesce(F.col("nulls")["customer"], F.lit(0)).alias("no_customer"))
 
 
+# ------------------------------------------------------------------ file_gate
+@register("file_gate", """
+WITH p AS (SELECT 'lineitem' AS topic, max(l_shipdate) AS p FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01 00:00:00'
+  UNION ALL SELECT 'orders', max(o_orderdate) FROM orders)
+SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate < (SELECT min(p) FROM p)
+""")
+def q_file_gate(spark, sf):
+    """Two stages that grow by files; the gate takes both positions from what is known of the files, none from a column."""
+    root = work_dir(spark, "file_gate")
+    known = FilePositions(spark, f"{root}/files")
+    li, orders = table(spark, sf, "lineitem").select("l_shipdate", "l_orderkey"), table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    for lo, hi in ((D(1900, 1, 1), D(1995, 1, 1)), (D(1995, 1, 1), D(1998, 1, 1))):
+        li.filter(F.col("l_shipdate").between(ts_lit(lo), ts_lit(hi - _dt.timedelta(microseconds=1)))).write.mode("append").parquet(f"{root}/lineitem")
+        known.refresh("lineitem", f"{root}/lineitem", "l_shipdate", "l_orderkey")
+    orders.write.parquet(f"{root}/orders")
+    known.refresh("orders", f"{root}/orders", "o_orderdate", "o_orderkey")
+    known.compact(keep_s=0)
+    gate, _ = dep_gate(known.positions(), ["lineitem", "orders"], 0, FAR_GATE)
+    store, target = PositionStore(spark, f"{root}/positions"), Target(root=f"{root}/fact", dedup=None)
+    drain_planned(spark, "orders_gated", spark.read.parquet(f"{root}/orders"), lambda b: b, target, store, NOW, gate=gate, pos="o_orderdate", id="o_orderkey")
+    return read_fact(spark, target.root, store).drop("block_id")
+
+
+# ------------------------------------------------------------------ log_compaction
+@register("log_compaction", """
+SELECT 'orders_log' AS topic, CAST(count(*) AS BIGINT) AS rows, max(o_orderkey) AS max_id, min(o_orderdate) AS min_ts, max(o_orderdate) AS max_ts,
+       CAST(count(DISTINCT o_orderkey) AS BIGINT) AS visible FROM orders
+""")
+def q_log_compaction(spark, sf):
+    """A load a year, the position log merged between them: every commit row stays, once, and the table with it."""
+    root = work_dir(spark, "log_compaction")
+    store = PositionStore(spark, f"{root}/positions")
+    src = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    target = Target(root=f"{root}/fact", keys=["o_orderkey"], log_ts="o_orderdate", log_id="o_orderkey")
+    for gate in (D(1994, 1, 1), D(1997, 1, 1), FAR_GATE):
+        drain_planned(spark, "orders_log", src, lambda b: b, target, store, NOW, gate=gate, pos="o_orderdate", id="o_orderkey")
+        store.compact(keep_s=0)
+        PositionStore.forget(store.path)   # a new process
+    seen = read_fact(spark, target.root, store).agg(F.countDistinct("o_orderkey").alias("visible"))
+    return merge_log(store.block_log()).select("topic", "rows", "max_id", "min_ts", "max_ts").join(F.broadcast(seen))
+
+
 # ------------------------------------------------------------------ retain_partitions (K8)
 @register("retain_partitions", """
 SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders WHERE year(o_orderdate) >= 1997

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.positions import Position
+from .logfiles import compact_log, exists, hadoop_path, read_log  # noqa: F401
 
 POSITIONS_SCHEMA = ("topic string, last struct<pos:timestamp_ntz,id:bigint>, rows bigint, "
                     "next struct<pos:timestamp_ntz,id:bigint>, run timestamp_ntz, seq bigint, "
@@ -24,17 +25,6 @@ _FIELDS = ("topic last rows next run seq processor state hostid block_id publish
            "root folders removed keys edges elapsed_ms").split()
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    """(Path, FileSystem) of any shared store."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = hadoop_path(spark, path)
-    return fs.exists(p)
-
-
 class Live:
     """What a destination's commit rows publish: folders (with the key columns of their digest) and retention cutoffs."""
 
@@ -62,9 +52,11 @@ class PositionStore:
         cls._cache.get(path.rstrip("/"), {}).clear()
 
     def read(self) -> DataFrame:
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], POSITIONS_SCHEMA)
-        return self.spark.read.schema(POSITIONS_SCHEMA).parquet(self.path)
+        return read_log(self.spark, self.path, POSITIONS_SCHEMA)
+
+    def compact(self, keep_s: int = 3600, min_files: int = 2) -> int:
+        """Merge the log's part files, sorted by topic and `seq`, while writers go on; returns how many were merged."""
+        return compact_log(self.spark, self.path, POSITIONS_SCHEMA, ["topic", "seq"], keep_s, min_files)
 
     def current(self, topic: str):
         if topic in self._known:
