@@ -120,6 +120,59 @@ def test_lm_scoring(docs):
     assert all(r.score < 0 for r in got)
 
 
+def test_lm_parts_count_like_one():
+    """The whole-token tables of all parts hold the counts that one part of all words would hold."""
+    rng = np.random.default_rng(5)
+    words = sorted({bytes(rng.integers(97, 100, rng.integers(0, 9)).astype(np.uint8)) for _ in range(600)})
+    c, k = rng.integers(0, 6, len(words)), rng.integers(0, 3, len(words))
+    code = lm.Code(np.bincount(np.frombuffer(b" ".join(words), np.uint8), minlength=256))
+    seen = lambda b, x: {i: b.hashed(i, x) for i in lm.WHOLE}
+    want: dict = {i: Counter() for i in lm.WHOLE}
+    for group, tokens in lm._groups(words):
+        b = lm.Bits(tokens, code, lm.WHOLE)
+        for i, x in seen(b, k[group]).items():
+            for slot, bit, w in zip(x.tolist(), b.bit.tolist(), c[group][b.token].tolist()):
+                want[i][slot, bit] += w
+    cuts = [0, 40, 41, 150, 260, len(words)]
+    parts = [lm.Part(words[a], words[z - 1], words[a - 1] if a else None, words[z] if z < len(words) else None) for a, z in zip(cuts, cuts[1:])]
+    shared: dict = {i: Counter() for i in lm.WHOLE}
+    for part, a, z in zip(parts, cuts, cuts[1:]):
+        depths, heads = part.heads(words[a:z])
+        for w, d, head in zip(words[a:z], depths, heads):
+            # exactly the beginnings that other parts have
+            assert all(any(v.startswith(w[:n]) for v in words[:a] + words[z:]) == (n <= d) for n in range(min(len(w), 20) + 1))
+        b = lm.Bits(heads, code, lm.WHOLE)
+        here = b.place_of_byte[b.byte] <= depths[b.token]
+        for i, x in seen(b, k[a:z]).items():
+            for slot, bit, w in zip(x[here].tolist(), b.bit[here].tolist(), c[a:z][b.token][here].tolist()):
+                shared[i][slot, bit] += w
+    spanning = {}
+    for i in lm.WHOLE:
+        x = np.unique(np.array([s for s, _ in shared[i]], np.uint32))
+        spanning[i] = x, np.array([[shared[i][s, 0], shared[i][s, 1]] for s in x.tolist()], float).reshape(-1, 2)
+    for part, a, z in zip(parts, cuts, cuts[1:]):
+        got = lm.whole_tables(words[a:z], c[a:z], k[a:z], part, spanning, code, 3)
+        b = lm.Bits(words[a:z], code, lm.WHOLE)
+        for i in lm.WHOLE:
+            # the contexts of the part's learned words, and the shared ones in every class
+            inside = b.place_of_byte[b.byte] <= part.heads(words[a:z])[0][b.token]
+            asked = set(b.hashed(i, k[a:z])[c[a:z][b.token] > 0].tolist()) | {x for j in range(3) for x in b.hashed(i, j)[inside].tolist()}
+            exact = np.zeros((len(got[i]), 2))
+            for x in asked:
+                exact[x >> (33 - len(got[i]).bit_length())] += want[i][x, 0], want[i][x, 1]
+            np.testing.assert_array_equal(got[i], lm.states(exact))
+
+
+def test_lm_scores_in_many_parts(spark, docs):
+    """However many parts the words are dealt to, a model with the same weights scores alike, but for slots that contexts share."""
+    key = lambda r: (r.doc_id is None, r.doc_id, r.base_score)
+    one, many = (sorted(lm.score(docs, part_bytes=n, passes=0, slots_per_bit=200).collect(), key=key) for n in (1 << 20, 300))
+    learned, again = (sorted(lm.score(docs, part_bytes=300).collect(), key=key) for _ in range(2))
+    assert [r[:6] for r in one] == [r[:6] for r in many] == [r[:6] for r in learned]
+    assert learned == again and [r.score for r in learned] != [r.score for r in many]
+    assert all(abs(a.score - b.score) < 0.01 * abs(a.score) for a, b in zip(one, many))
+
+
 def test_lm_beats_unigrams_and_sums_to_one(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = lm.score(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.avg("bits_per_byte")).first()
@@ -128,7 +181,7 @@ def test_lm_beats_unigrams_and_sums_to_one(spark):
     code = lm.Code(np.bincount(np.frombuffer(b"aab ab b " * 50, np.uint8), minlength=256))
     counts = [np.zeros((256, 2), np.float32) for _ in lm.PREDICTORS]
     import zstandard
-    mixer = lm.Mixer(code, [zstandard.compress(lm.states(c).tobytes()) for c in counts])
+    mixer = lm.Mixer(code, {i: zstandard.compress(lm.states(c).tobytes()) for i, c in enumerate(counts)})
     words = [b""] + [bytes([x]) for x in range(256) if x != 32]
     p = 10 ** mixer.log10(words, 1)[:, 0]
     assert abs(code.length[32] - -math.log2(p[0])) < 1e-3 and p.sum() < 1
