@@ -111,17 +111,22 @@ def drop_tombstones(state: DataFrame, tombstone: str, ts: str, horizon) -> DataF
     return state.filter(~(F.col(tombstone) & (F.col(ts) < ts_lit(horizon))))
 
 
-def files_per_partition(df: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Number of files behind every partition of a file-based DataFrame."""
-    return df.select(*partition_by, F.col("_metadata.file_path").alias("_file")).groupBy(*partition_by) \
-        .agg(F.countDistinct("_file").alias("files"))
+def files_per_partition(df: DataFrame, partition_by: list[str], part: str | None = None) -> DataFrame:
+    """Number of files behind every partition of a file-based DataFrame, or of values of the column `part`."""
+    counted = F.col(part or "_metadata.file_path").alias("_file")
+    return df.select(*partition_by, counted).groupBy(*partition_by).agg(F.countDistinct("_file").alias("files"))
 
 
-def compact(df: DataFrame, partition_by: list[str], keys: list[str], order: list[str]) -> DataFrame:
+def compact(df: DataFrame, partition_by: list[str], keys: list[str], order: list[str], part: str | None = None) -> DataFrame:
     """K6: partitions made of more than one file are collapsed to the newest row per
     key; single-file partitions pass through unchanged.  The caller writes the
-    result to a new version folder."""
-    multi = files_per_partition(df, partition_by).filter(F.col("files") > 1).select(*partition_by)
+    result to a new version folder.
+
+    An append of any size is written by many tasks, as many files.  Where appends lie in folders
+    of their own, `part` names the column of these folders: appends are counted, not files.
+    """
+    # a row per partition: the bound of this broadcast, which keeps partitions from being dealt to a task each
+    multi = F.broadcast(files_per_partition(df, partition_by, part).filter(F.col("files") > 1).select(*partition_by))
     cols = df.columns
     busy = df.join(multi, partition_by, "left_semi")
     quiet = df.join(multi, partition_by, "left_anti")
