@@ -73,25 +73,29 @@ def first_rows(block: DataFrame, keys: list[str], order: list | None = None) ->
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    keyed = block.filter(known)
+    # a number of its own keeps each row with a NULL apart: one pass over the block, and no group of all of them
+    apart = block.withColumn("_apart", F.when(~known, F.monotonically_increasing_id()))
     if order:
-        w = Window.partitionBy(*keys).orderBy(*[as_col(c) for c in order])
-        keyed = keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        w = Window.partitionBy(*keys, "_apart").orderBy(*[as_col(c) for c in order])
+        apart = apart.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     else:
-        keyed = keyed.dropDuplicates(keys)
-    return keyed.unionByName(block.filter(~known))
+        apart = apart.dropDuplicates([*keys, "_apart"])
+    return apart.drop("_apart")
 
 
 def new_rows(block: DataFrame, fact: DataFrame | None, keys: list[str],
-             prune: dict | None = None, order: list | None = None) -> DataFrame:
+             prune: dict | None = None, order: list | None = None, first: bool = False) -> DataFrame:
     """L3: rows of the block whose keys the fact does not hold yet, one per key (`first_rows`),
     so that the fact does not depend on where blocks end.
 
     The fact side is first narrowed to the block's keys (`fact IN block`) and by partition
     values (`prune`, NULL among them), then the block is anti-joined to that small set.
     AQE broadcasts from real sizes; no `NOT IN`: it plans a null-aware anti join.
+    The block is read twice, by its keys and by the anti-join; `first` tells that it holds
+    its first rows alone already.
     """
-    block = first_rows(block, keys, order)
+    if not first:
+        block = first_rows(block, keys, order)
     if fact is None:
         return block
     narrowed = fact

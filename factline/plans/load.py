@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gate import dep_gate, precheck_message
-from ..operators.lookup import latest, new_rows
+from ..operators.lookup import first_rows, latest, new_rows
 from ..operators.positions import (DEFAULT_MAX_STEP, Block, Position, block_filter, block_of_edges, next_block,
                                    next_block_uniq, next_now, next_range, plan_blocks, shard_filter)
+from ..session import work_dir
 from .sink import (Target, append_error, append_log, block_dirs, compact_step, conform, delete_path,  # noqa: F401
                    loaded_keys, log_fields, publish, read_fact, retain_partitions, vacuum, write_block)
 from .store import POSITIONS_SCHEMA, PositionStore  # noqa: F401
@@ -69,12 +70,25 @@ def dedup_block(out: DataFrame, target: Target, store: PositionStore, block_id:
     if target.dedup == "latest" and target.keys:
         return latest(out, target.keys, target.order or [])
     if target.dedup == "new" and target.keys:
-        order = target.order or first_order(out, target.keys, pos, id)
-        return new_rows(out, loaded_keys(out.sparkSession, store, target.root, out, target.keys, block_id),
-                        target.keys, order=order)
+        spark, order = out.sparkSession, target.order or first_order(out, target.keys, pos, id)
+        live = store.live(target.root)
+        if not set(live.folders) - {block_id}:
+            return new_rows(out, None, target.keys, order=order)
+        # the keys' range, the join that narrows the fact and the anti-join each read the block: its transform runs once
+        out = staged(first_rows(out, target.keys, order), block_id)
+        return new_rows(out, loaded_keys(spark, store, target.root, out, target.keys, block_id, live), target.keys, first=True)
     return out
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to a fresh folder below spark.checkpoint.dir and read back; columns of no type are not stored."""
+    path, stored = work_dir(df.sparkSession, f"staged-{name}"), [c for c, kind in df.dtypes if kind != "void"]
+    held = df.select(*stored)
+    held.write.parquet(path)
+    back = df.sparkSession.read.schema(held.schema).parquet(path)
+    return back.select(*[c if c in stored else F.lit(None).alias(c) for c in df.columns])
+
+
 def first_order(out: DataFrame, keys: list[str], pos: str = "pos", id: str = "id") -> list:
     """Position, then every column that has an order."""
     named = [c for c in (pos, id) if c in out.columns and c not in keys]

@@ -139,7 +139,7 @@ def read_fact(spark: SparkSession, root: str, store: PositionStore | str, exclud
 
 
 def loaded_keys(spark: SparkSession, store: PositionStore, root: str, block: DataFrame, keys: list[str],
-                exclude_block: str | None = None) -> DataFrame | None:
+                exclude_block: str | None = None, live: Live | None = None) -> DataFrame | None:
     """L3's fact side: the keys that committed blocks hold, from their digests.
 
     One aggregate over the block's keys gives its hash buckets and the range of its first
@@ -147,7 +147,7 @@ def loaded_keys(spark: SparkSession, store: PositionStore, root: str, block: Dat
     groups out of range are skipped.  Folders that another job wrote without a digest of
     these keys are read for their key columns.
     """
-    live = store.live(root)
+    live = live or store.live(root)
     names = sorted(n for n in live.folders if n != exclude_block)
     if not names:
         return None
