@@ -282,38 +282,65 @@ def plan_blocks(df: DataFrame, last: Position | None, gate, max_step: int, pos:
     """The next `horizon` blocks under a fixed gate, planned in one distributed pass.
 
     Gives the same edges as calling `next_block` (or `next_block_uniq`) after each
-    commit, as long as the source does not change below the gate meanwhile: rows
-    are ranked once (`rank_rows`), block k holds ranks [k*max_step, (k+1)*max_step),
-    and its `next` is the largest position among them.  Only one row per block
-    reaches the driver.
+    commit, as long as the source does not change below the gate meanwhile: the k-th
+    block ends at the (k*max_step)-th position, the last one at the largest.  One count of rows per
+    range of time tells the ranges that hold an end; only their rows are ranked (`rank_rows`).
+    One row per range and one per block reach the driver.
     """
     pend = pending(_placed(df, pos, id), last, gate)
     if uniq:
         pend = pend.groupBy("id").agg(F.max("pos").alias("pos")).select("pos", "id")
-    # rank only what the horizon needs: cut the backlog at the (horizon * max_step)-th position
-    cap = horizon * max_step
-    n = pend.count()
-    if n == 0:
-        return []
-    if n > cap:
-        if uniq and n > EXACT_ROWS:
-            pend = pend.checkpoint(eager=True)
-        edge = kth_position(pend, cap, count=n)
-        pend = pend.filter(at_or_before(edge, "pos", "id"))
-        n = cap
-    ranked = rank_rows(pend, ["pos", "id"], count=n)
-    edges = (ranked.withColumn("block_no", F.floor(F.col("row_rank") / F.lit(max_step)))
-             .filter(F.col("block_no") < horizon)
-             .groupBy("block_no").agg(F.count(F.lit(1)).alias("rows"), F.max(position("pos", "id")).alias("next"))
-             .orderBy("block_no").collect())
+    st = pend.agg(F.count(F.lit(1)).alias("n"), F.max(position("pos", "id")).alias("mx"), F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
+    n = int(st["n"])
+    ends = [k * max_step for k in range(1, min(horizon, -(-n // max_step)) + 1)]
+    inner = [k for k in ends if k < n]
+    if inner and uniq and n > EXACT_ROWS:
+        pend = pend.checkpoint(eager=True)
+    at = _positions_at(pend, inner, st["lo"], st["hi"]) if inner else {}
     out, prev = [], last
-    for e in edges:
-        nxt = Position.of(e["next"])
-        out.append(Block(prev, nxt, int(e["rows"]), max_step))
+    for k in ends:
+        nxt = at[k] if k < n else Position.of(st["mx"])
+        out.append(Block(prev, nxt, min(max_step, n - k + max_step), max_step))
         prev = nxt
     return out
 
 
+def _moment(pos, kind: str, days: bool) -> Column:
+    """Whole days or seconds of a column or value, ordered as it is, in any session time zone."""
+    if kind == "timestamp":
+        return F.unix_seconds(pos)
+    t = pos.cast("timestamp_ntz")
+    day = F.unix_date(t.cast("date")).cast("bigint")
+    return day if days else day * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
+def _positions_at(df: DataFrame, places: list[int], lo, hi) -> dict[int, Position | None]:
+    """The positions at the (1-based, sorted) `places` in the order of `df`, whose times lie in [lo, hi]."""
+    buckets, kind = max(HIST_BUCKETS, 8 * len(places)), df.schema["pos"].dataType.typeName()
+    if lo is None:
+        bucket = F.expr("CAST(-1 AS BIGINT)")
+    else:
+        days = (hi - lo).days >= buckets // 4   # cheaper to take, and fine enough
+        first, last = df.sparkSession.range(1).select(*[_moment(F.lit(x), kind, days) for x in (lo, hi)]).first()
+        width = -(-(last - first + 1) // buckets)
+        # rows without a time come first
+        bucket = F.coalesce(F.floor((_moment(F.col("pos"), kind, days) - first) / width).cast("bigint"), F.lit(-1))
+    df = df.withColumn("_b", bucket)
+    hist = sorted((r["_b"], r["n"]) for r in df.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
+    todo, wanted, ranked, seen, below = list(places), {}, [], 0, 0
+    for b, n in hist:
+        held = [k for k in todo if k <= seen + n]
+        if held:
+            todo = todo[len(held):]
+            wanted.update({k - 1 - seen + below: k for k in held})   # its rank among the rows of such ranges
+            ranked.append(b)
+            below += n
+        seen += n
+    found = rank_rows(df.filter(F.col("_b").isin(ranked)).drop("_b"), ["pos", "id"], partitions=-(-below // EXACT_ROWS)) \
+        .filter(F.col("row_rank").isin(list(wanted))).collect()
+    return {wanted[r["row_rank"]]: Position.of(r) for r in found}
+
+
 # ---------------------------------------------------------------- sources, shards, late rows
 
 def source_position(df: DataFrame, pos: str = "pos", id: str = "id") -> Position | None:
